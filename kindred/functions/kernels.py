@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 
-# Distances held at once: a block of this many doubles stays in a core's cache.
+# Distances held at once, few enough to stay in a core's cache.
 BLOCK = 1 << 18
 
 
@@ -32,40 +32,58 @@ def squared_gaps(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", gap, gap)
 
 
+def distinct(centers: np.ndarray) -> np.ndarray:
+    """Positions of the first of every set of equal centers: the only ones a point can go to."""
+    return np.sort(np.unique(centers, axis=0, return_index=True)[1])
+
+
 def nearest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Position of the nearest center and the squared distance to it, for every point.
 
-    A matrix product ranks the centers; where its rounding could hide which is nearest, the few
-    candidates are compared by plain differences, so ties go to the first center exactly.
+    A single-precision matrix product ranks the centers. Where its rounding could hide which is
+    nearest, the few candidates are compared by plain differences in double precision, so the
+    answer is exact and ties go to the first center.
     """
     best = np.empty(len(points), dtype=np.int64)
     norms = np.einsum("ij,ij->i", centers, centers)
+    sizes = np.einsum("ij,ij->i", points, points) + norms.max()
+    precision = np.float32 if sizes.max() < 1e30 else np.float64
+    slack = 8 * (centers.shape[1] + 4) * np.finfo(precision).eps * sizes + 1e-37
+    turned, norms = (-2.0 * centers.T).astype(precision), norms.astype(precision)
     step = max(1, BLOCK // len(centers))
     for start in range(0, len(points), step):
-        best[start : start + step] = _nearest_block(points[start : start + step], centers, norms)
+        rows = slice(start, start + step)
+        best[rows] = _nearest_block(points[rows], centers, turned, norms, slack[rows])
     return best, squared_gaps(points, centers[best])
 
 
-def _nearest_block(points: np.ndarray, centers: np.ndarray, norms: np.ndarray) -> np.ndarray:
-    gaps = points @ (-2.0 * centers.T)
+def _nearest_block(points, centers, turned, norms, slack) -> np.ndarray:
+    gaps = points.astype(turned.dtype) @ turned
     gaps += norms
     best = gaps.argmin(axis=1)
     rows = np.arange(len(points))
-    size = np.einsum("ij,ij->i", points, points) + norms.max()
-    limit = gaps[rows, best] + 8 * (centers.shape[1] + 4) * np.finfo(float).eps * size
-    near = gaps <= limit[:, None]
-    unsure = np.flatnonzero(near.sum(axis=1) > 1)
-    if len(unsure):
-        row, candidate = np.nonzero(near[unsure])
-        exact = squared_gaps(points[unsure[row]], centers[candidate])
-        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        least = np.minimum.reduceat(exact, starts)
-        hits = np.flatnonzero(exact == least[row])
-        first = hits[np.r_[True, row[hits][1:] != row[hits][:-1]]]
-        best[unsure] = candidate[first]
+    limit = gaps[rows, best] + slack.astype(turned.dtype)
+    gaps[rows, best] = np.inf
+    unsure = np.flatnonzero(gaps.min(axis=1) <= limit)
+    gaps[rows, best] = -np.inf
+    step = max(1, 4 * BLOCK // centers.size)
+    for start in range(0, len(unsure), step):
+        some = unsure[start : start + step]
+        best[some] = _nearest_candidate(points[some], centers, gaps[some] <= limit[some, None])
     return best
 
 
+def _nearest_candidate(points, centers, near) -> np.ndarray:
+    """The first nearest center of each point among those marked ``near``."""
+    row, candidate = np.nonzero(near)
+    exact = squared_gaps(points[row], centers[candidate])
+    starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    least = np.minimum.reduceat(exact, starts)
+    hits = np.flatnonzero(exact == least[row])
+    first = hits[np.r_[True, row[hits][1:] != row[hits][:-1]]]
+    return candidate[first]
+
+
 def sums_task(model):
     """Per task: rows, squared error and feature sums of every cluster of every run.
 

@@ -7,10 +7,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.functions.kernels import assign_task, matrix, nearer_task
+from kindred.functions.kernels import assign_task, distinct, matrix, nearer_task
 from kindred.session import materialize
 
-MODEL_BYTES = 256 << 20
+# Most bytes of centers to broadcast at once. A Python worker holds about three times as much.
+MODEL_BYTES = 64 << 20
 
 
 def assign_points(points: DataFrame, model: Broadcast) -> DataFrame:
@@ -46,9 +47,9 @@ def nearest_centers(points: DataFrame, centers: DataFrame, model_bytes: int = MO
         rows = centers.filter(in_block).select("cluster", "center").orderBy("cluster").toArrow()
         if not rows.num_rows:
             continue
-        block = spark.sparkContext.broadcast(
-            (rows["cluster"].to_numpy().astype(np.int32), matrix(rows["center"].combine_chunks()))
-        )
+        labels, places = rows["cluster"].to_numpy().astype(np.int32), matrix(rows["center"].combine_chunks())
+        first_of_equals = distinct(places)
+        block = spark.sparkContext.broadcast((labels[first_of_equals], places[first_of_equals]))
         best = best.mapInArrow(nearer_task(block, len(kept)), schema)
         if size["last"] >= per_block:
             best = materialize(best, "nearest")

@@ -22,12 +22,16 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from kindred.functions.kernels import matrix, medoids_task, squared_gaps, sums_task
+from kindred.functions.kernels import distinct, matrix, medoids_task, squared_gaps, sums_task
 from kindred.operators.assign import MODEL_BYTES, assign_points, nearest_centers
 from kindred.operators.centers import center_shift, cluster_means, cluster_medoids, initial_centers, mean_error
 from kindred.schema import ALGORITHMS, SETUP_SCHEMA
 from kindred.session import materialize
 
+# A partition this many times the mean is too big; distances per core and pass that pay for a shuffle.
+_UNEVEN = 4
+_WORTH_SPREADING = 1_000_000
+
 _HISTORY = "run_id int, iter int, clusters long, delta double, wsos double"
 _RUNS = "run_id int, k int, seed int, max_iters int, epsilon double, iters int, delta double, wsos double"
 _CENTERS = "run_id int, cluster int, center array<double>"
@@ -51,6 +55,11 @@ class _State:
         self.centers = self.before = centers
         self.log: list[tuple] = []
 
+    def open(self) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and places of the centers that points can go to: equal ones count once."""
+        first_of_equals = distinct(self.centers)
+        return self.labels[first_of_equals], self.centers[first_of_equals]
+
     def step(self, labels: np.ndarray, centers: np.ndarray, error: float) -> None:
         kept = np.isin(self.labels, labels)
         delta = float(squared_gaps(self.centers[kept], centers).sum()) if kept.all() else float("inf")
@@ -64,11 +73,9 @@ class _State:
             self.log[-1][3] <= self.setup["epsilon"] or len(self.log) >= self.setup["max_iters"]
         )
 
-    def updated(self) -> np.ndarray:
-        """The present centers in the places of those that decided the assignments."""
-        updated = self.before.copy()
-        updated[np.isin(self.labels_before, self.labels)] = self.centers
-        return updated
+    def last_move(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers, deciding places and updated places of the centers that have points."""
+        return self.labels, self.before[np.isin(self.labels_before, self.labels)], self.centers
 
 
 def setups(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -98,9 +105,7 @@ def cluster(
     working = points.select("id", F.col("features").cast("array<double>").alias("features"))
     working = working.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        total = working.count()
-        if not total:
-            raise ValueError("there are no points")
+        working, total = _spread(working, sum(setup["k"] for setup in asked))
         dims = len(working.first()["features"])
         results = []
         for wave in _waves(asked, total, dims, model_bytes):
@@ -113,6 +118,26 @@ def cluster(
     return Clustering(*[reduce(DataFrame.unionByName, tables) for tables in zip(*results)])
 
 
+def _spread(working: DataFrame, centers: int) -> tuple[DataFrame, int]:
+    """Points over enough partitions, and their number.
+
+    Every pass costs a task time in proportion to its points, so few or uneven partitions (one
+    small file, a join on a hot key) are evened out once, by id, where the work is worth it.
+    """
+    sizes = [row["count"] for row in working.groupBy(F.spark_partition_id()).count().collect()]
+    total = sum(sizes)
+    if not total:
+        raise ValueError("there are no points")
+    cores = working.sparkSession.sparkContext.defaultParallelism
+    uneven = len(sizes) < cores or max(sizes) > _UNEVEN * total / len(sizes)
+    if not uneven or total * centers < cores * _WORTH_SPREADING:
+        return working, total
+    even = working.repartition(max(cores, len(sizes)), "id").persist(StorageLevel.MEMORY_AND_DISK)
+    even.count()
+    working.unpersist()
+    return even, total
+
+
 def _check_setups(asked: list[Row]) -> None:
     if not asked:
         raise ValueError("there are no setups")
@@ -155,7 +180,7 @@ def _in_memory(
     )
     history = spark.createDataFrame([row for state in states for row in state.log], _HISTORY)
     deciding = spark.sparkContext.broadcast(
-        [(state.setup["run_id"], state.labels_before, state.before, state.updated()) for state in states]
+        [(state.setup["run_id"], *state.last_move()) for state in states]
     )
     assignments = assign_points(points, deciding)
     return Clustering(runs, _centers_table(spark, states), assignments, history)
@@ -163,7 +188,7 @@ def _in_memory(
 
 def _iterate(working: DataFrame, live: list[_State], dims: int, algorithm: str) -> None:
     context = working.sparkSession.sparkContext
-    model = context.broadcast([(s.setup["run_id"], s.labels, s.centers) for s in live])
+    model = context.broadcast([(s.setup["run_id"], *s.open()) for s in live])
     sums = [f"s{i}" for i in range(dims)]
     schema = ", ".join(["run_id int, cluster int, n long, sse double", *[f"{name} double" for name in sums]])
     totals = (
@@ -201,10 +226,10 @@ def _medoids(working: DataFrame, live: list[_State], found: dict, means: dict, e
     model = []
     for state in live:
         run_id = state.setup["run_id"]
-        used = np.isin(state.labels, found[run_id]["cluster"])
-        mean, spread = np.zeros_like(state.centers), np.zeros(len(state.labels))
-        mean[used], spread[used] = means[run_id], errors[run_id] / found[run_id]["n"]
-        model.append((run_id, state.labels, state.centers, mean, spread))
+        part = found[run_id]
+        # Centers without points were nearest to none, so the others decide alike without them.
+        deciding = state.centers[np.isin(state.labels, part["cluster"])]
+        model.append((run_id, part["cluster"], deciding, means[run_id], errors[run_id] / part["n"]))
     shared = working.sparkSession.sparkContext.broadcast(model)
     id_type = working.schema["id"].dataType.simpleString()
     best = (

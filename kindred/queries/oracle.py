@@ -44,7 +44,7 @@ SONG_POINTS = FEATURED + "," + _points("featured", FEATURES, "id, title, artist"
 LINE_POINTS = (
     """
 raw_lines AS MATERIALIZED (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_quantity, l_extendedprice,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER)) AS id, l_quantity, l_extendedprice,
     l_discount, l_tax FROM lineitem),"""
     + _points("raw_lines", LINE_FEATURES, "id")
 )
@@ -338,7 +338,6 @@ SELECT run_id, id, title, artist, CAST(cluster AS INTEGER) AS cluster FROM assig
 SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS size FROM assigned GROUP BY cluster""",
     "sorted_assignments": EMBEDDING_CLUSTERS + """
 SELECT CAST(cluster AS INTEGER) AS cluster, id FROM assigned ORDER BY cluster, id""",
-    "center_names": None,
     "radio": EMBEDDING_CLUSTERS + """
 SELECT CAST(cluster AS INTEGER) AS cluster, id FROM assigned
 WHERE cluster = (SELECT cluster FROM assigned WHERE id = 17) AND id <> 17""",
@@ -352,14 +351,23 @@ SELECT title, artist, id, playlists, CAST(cluster AS INTEGER) AS cluster, copies
 
 
 def _center_names() -> str:
-    """Medoids are songs by construction; the means of several songs are not."""
-    return SONG_MEDOIDS + f"""
-SELECT 'medoid' AS kind, CAST(m.cluster AS INTEGER) AS cluster, f.title, f.artist FROM (
-    SELECT c.cluster, min(v.id) AS id
+    """Every center is looked up among the points, medoids and means alike."""
+
+    def looked_up(kind: str, clusters: str) -> str:
+        return f"""
+SELECT '{kind}' AS kind, CAST(cluster AS INTEGER) AS cluster, coalesce(title, '<Not Found>') AS title,
+  coalesce(artist, '<Not Found>') AS artist
+FROM ({clusters}
+  SELECT cluster, title, artist FROM (
+    SELECT c.cluster, min(p.id) AS id
     FROM (SELECT cluster, list(val ORDER BY dim) AS v FROM centers GROUP BY cluster) c
-    JOIN vectors v ON v.v = c.v GROUP BY c.cluster) m JOIN featured f USING (id)
-UNION ALL SELECT 'mean', CAST(range AS INTEGER), '<Not Found>', '<Not Found>' FROM range({SONG_RUN[0]})
-UNION ALL SELECT 'off', CAST(range AS INTEGER), '<Synthetic>', '<Synthetic>' FROM range({SONG_RUN[0]})"""
+    LEFT JOIN (SELECT id, list(val ORDER BY dim) AS v FROM pts GROUP BY id) p ON p.v = c.v GROUP BY c.cluster)
+  LEFT JOIN featured USING (id))"""
+
+    off = f"""
+SELECT 'off', CAST(cluster AS INTEGER), '<Synthetic>', '<Synthetic>'
+FROM ({SONG_CLUSTERS} SELECT DISTINCT cluster FROM centers)"""
+    return " UNION ALL ".join([looked_up("medoid", SONG_MEDOIDS), looked_up("mean", SONG_CLUSTERS), off])
 
 
 SQL["center_names"] = _center_names()

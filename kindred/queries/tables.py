@@ -82,7 +82,8 @@ def song_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_points(spark: SparkSession, folder: str) -> DataFrame:
-    identity = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id")
+    quantity = F.col("l_quantity").cast("int")
+    identity = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quantity).alias("id")
     lines = read(spark, folder, "lineitem").select(identity, *LINE_FEATURES)
     return scaled_features(lines, LINE_FEATURES, ["id"])
 
