@@ -22,12 +22,15 @@ def assign_points(points: DataFrame, model: Broadcast) -> DataFrame:
     return points.select(*kept, "features").mapInArrow(assign_task(model, len(kept)), schema)
 
 
-def nearest_centers(points: DataFrame, centers: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame:
+def nearest_centers(
+    points: DataFrame, centers: DataFrame, model_bytes: int = MODEL_BYTES, write: bool = False
+) -> DataFrame:
     """Nearest center for every point: its columns, the features, ``cluster`` and ``distance``.
 
     ``centers`` is a table of one run, ``(cluster, center)``. Centers up to ``model_bytes`` are
     broadcast at once. More are taken in blocks of that size, one pass over the points each; a
-    pass keeps the best so far and is written to the shared folder before the next.
+    pass keeps the best so far and is written to the shared folder before the next. With
+    ``write`` a single pass is written too, for a result that will be read many times.
     """
     spark = points.sparkSession
     size = centers.agg(
@@ -51,6 +54,6 @@ def nearest_centers(points: DataFrame, centers: DataFrame, model_bytes: int = MO
         first_of_equals = distinct(places)
         block = spark.sparkContext.broadcast((labels[first_of_equals], places[first_of_equals]))
         best = best.mapInArrow(nearer_task(block, len(kept)), schema)
-        if size["last"] >= per_block:
+        if write or size["last"] >= per_block:
             best = materialize(best, "nearest")
     return best

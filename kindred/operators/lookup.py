@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.session import materialize
+
 
 def radio(assignments: DataFrame, song_id: object) -> DataFrame:
     """The other songs in the cluster of one song, for every run."""
@@ -30,5 +32,8 @@ def clusters_by_name(songs: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def sorted_assignments(assignments: DataFrame) -> DataFrame:
-    """Assignments in order of run, cluster and id."""
-    return assignments.orderBy("run_id", "cluster", "id")
+    """Assignments in order of run, cluster and id.
+
+    They are written down first: a global sort reads its input twice, once for a sample.
+    """
+    return materialize(assignments, "assignments").orderBy("run_id", "cluster", "id")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from kindred.functions.kernels import distinct, matrix, medoids_task, squared_gaps, sums_task
+from kindred.functions.vectors import squared_distance
 from kindred.operators.assign import MODEL_BYTES, assign_points, nearest_centers
 from kindred.operators.centers import center_shift, cluster_means, cluster_medoids, initial_centers, mean_error
 from kindred.schema import ALGORITHMS, SETUP_SCHEMA
@@ -283,7 +284,7 @@ def _in_tables(
     )
     log: list[tuple] = []
     while not log or (log[-1][3] > setup["epsilon"] and len(log) < setup["max_iters"]):
-        assigned = nearest_centers(working, centers, model_bytes).select("*", run_id)
+        assigned = nearest_centers(working, centers, model_bytes, write=True).select("*", run_id)
         moved = materialize(cluster_means(assigned, dims), "centers")
         if algorithm == "kmedoids":
             moved = materialize(cluster_medoids(assigned, moved), "centers")
@@ -297,9 +298,7 @@ def _in_tables(
     # Carried columns come back by id, beside the cluster and the updated center.
     placed = assigned.join(centers, ["run_id", "cluster"]).select(
         "id", "run_id", "cluster",
-        F.aggregate(
-            F.zip_with("features", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v
-        ).alias("distance"),
+        squared_distance(F.col("features"), F.col("center")).alias("distance"),
     )
     kept = [name for name in points.columns if name != "features"]
     assignments = points.select(*kept).join(placed, "id").select(*kept, "run_id", "cluster", "distance")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions.text import encode_list, feature_line
+from kindred.session import materialize
 
 
 def write_adjacency(playlists: DataFrame, path: str) -> None:
@@ -45,9 +46,11 @@ def write_assignments(assignments: DataFrame, path: str) -> None:
     """Assignments as Parquet, one folder for each run, ordered by cluster within its files.
 
     Range partitioning by run, cluster and a hash of the id spreads a big cluster over many files.
+    It samples its input, so the assignments are worked out and written down before.
     """
-    order = ["run_id", "cluster", F.xxhash64("id")]
-    ranged = assignments.repartitionByRange(*order).sortWithinPartitions("run_id", "cluster", "id")
+    placed = materialize(assignments, "assignments")
+    ranged = placed.repartitionByRange("run_id", "cluster", F.xxhash64("id"))
+    ranged = ranged.sortWithinPartitions("run_id", "cluster", "id")
     ranged.write.mode("overwrite").partitionBy("run_id").parquet(path)
 
 
