@@ -88,10 +88,10 @@ def test_equal_centers_tie_to_the_lowest_and_lost_ones_make_the_move_infinite(sp
 @pytest.mark.parametrize("algorithm", ["kmeans", "kmedoids"])
 def test_partitions_do_not_matter(spark, algorithm):
     results = []
-    for partitions in (1, 4, 17):
+    for partitions in (1, 17):
         found = cluster(points_of(spark, RANDOM, partitions), setups(spark, [(6, 2, 5, 0.0)]), algorithm)
         results.append((rows(found.assignments, "id", "cluster"), round(found.runs.first()["wsos"], 10)))
-    assert results[0] == results[1] == results[2]
+    assert results[0] == results[1]
 
 
 def test_a_medoid_is_a_member_and_not_the_mean(spark):
@@ -112,18 +112,17 @@ def test_text_ids_and_carried_columns(spark):
 def test_runs_together_equal_runs_alone(spark):
     grid = [(2, 1, 5, 0.0), (5, 4, 3, 0.0), (3, 4, 6, 1e9), (5, 9, 6, 0.01)]
     points = points_of(spark, RANDOM)
+    expected, labels = [], []
+    for run_id, run in enumerate(grid):
+        alone = cluster(points, setups(spark, [run]))
+        expected.append((run_id, alone.runs.first()["iters"], pytest.approx(alone.runs.first()["wsos"])))
+        labels += [(run_id, *row) for row in rows(alone.assignments, "id", "cluster")]
+    # One iteration is enough where the bound is high.
+    assert expected[2][1] == 1
     for model_bytes in (1 << 20, 200):
         together = cluster(points, setups(spark, grid), model_bytes=model_bytes)
-        assert together.runs.count() == len(grid)
-        assert together.assignments.count() == len(grid) * len(RANDOM)
-        for run_id, run in enumerate(grid):
-            alone = cluster(points, setups(spark, [run]))
-            mine = together.runs.filter(F.col("run_id") == run_id).first()
-            assert mine["iters"] == alone.runs.first()["iters"]
-            assert mine["wsos"] == pytest.approx(alone.runs.first()["wsos"])
-            assert rows(together.assignments.filter(F.col("run_id") == run_id), "id", "cluster") == rows(alone.assignments, "id", "cluster")
-    # One iteration is enough where the bound is high.
-    assert together.runs.filter("run_id = 2").first()["iters"] == 1
+        assert rows(together.runs, "run_id", "iters", "wsos") == expected
+        assert rows(together.assignments, "run_id", "id", "cluster") == sorted(labels, key=repr)
 
 
 def test_agrees_with_the_library_clustering_from_the_same_start(spark):
