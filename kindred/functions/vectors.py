@@ -37,11 +37,6 @@ def divide_by(vector: Column, divisor: Column) -> Column:
     return F.transform(vector, lambda value: value / divisor)
 
 
-def rounded(vector: Column, places: int) -> Column:
-    """Every element rounded, with negative zero written as zero."""
-    return F.transform(vector, lambda value: F.round(value, places) + F.lit(0.0))
-
-
 def to_ml_vector(vector: Column) -> Column:
     """The vector as the machine-learning library's own type."""
     return array_to_vector(vector)

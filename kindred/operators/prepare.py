@@ -52,12 +52,12 @@ def ordered_lists(
 
 
 def _short_lists(rows: DataFrame, key: str, order: list[str], value: str, name: str) -> DataFrame:
-    entry = F.struct(*[F.col(column).alias(f"o{i}") for i, column in enumerate(order)], F.col(value).alias("v"))
-    return (
-        rows.groupBy(key)
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        .select(key, F.lit(0).alias("part"), F.transform("_entries", lambda e: e["v"]).alias(name))
-    )
+    if order == [value]:
+        listed = F.array_sort(F.collect_list(value))
+    else:
+        entry = F.struct(*dict.fromkeys([*order, value]))
+        listed = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e[value])
+    return rows.groupBy(key).agg(listed.alias(name)).select(key, F.lit(0).alias("part"), name)
 
 
 def _long_lists(

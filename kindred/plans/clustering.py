@@ -254,7 +254,7 @@ def _by_run(table: DataFrame) -> dict[int, dict[str, np.ndarray]]:
     columns = {}
     for name in rows.column_names:
         column = rows[name].combine_chunks()
-        columns[name] = matrix(column) if pa.types.is_list(column.type) else column.to_numpy()
+        columns[name] = matrix(column) if pa.types.is_nested(column.type) else column.to_numpy()
     return {
         int(runs[a]): {name: column[a:b] for name, column in columns.items()} for a, b in zip(cuts, cuts[1:])
     }

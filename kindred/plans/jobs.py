@@ -10,6 +10,7 @@ from kindred.operators.scale import scaled_features
 from kindred.plans import clustering
 from kindred.plans.choose_k import elbow
 from kindred.schema import FEATURES
+from kindred.session import materialize
 from kindred.sources import results, sinks, slices, songs
 
 
@@ -20,9 +21,9 @@ def create_data(
 
     Writes under ``output``: ``playlists`` (text), ``songs`` (text), ``enriched`` (Parquet by
     status) and ``songs_with_playlists`` (text; one line per song, or per part of a long list).
-    Each step reads what the one before wrote, so the JSON is parsed once for either table.
+    The JSON is parsed once, and each step reads what the one before wrote.
     """
-    sliced = slices.read_slices(spark, slices_path)
+    sliced = materialize(slices.read_slices(spark, slices_path), "slices")
     sinks.write_adjacency(slices.playlists_of(sliced), f"{output}/playlists")
     unique = prepare.unique_songs(slices.tracks_of(sliced), ["slice", "pid", "pos"])
     sinks.write_unique_songs(unique, f"{output}/songs")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kindred.functions import vectors
 from kindred.operators import centers, lookup
 from kindred.operators.assign import nearest_centers
-from kindred.operators.scale import feature_statistics
+from kindred.operators.scale import feature_statistics, scaled_vectors
 from kindred.plans.choose_k import best_k, elbow
 from kindred.plans.clustering import Clustering, cluster, setups, sweep_k
 from kindred.queries import tables
@@ -48,6 +48,12 @@ def scaled_songs(spark: SparkSession, folder: str) -> DataFrame:
     return long_form(song_points(spark, folder), ["id", "title", "artist"], "features")
 
 
+def assembled_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same numbers by way of one vector column."""
+    keyed = line_points(spark, folder, scale=False)
+    return long_form(scaled_vectors(keyed, "features", ["id"]), ["id"], "features")
+
+
 def vector_arithmetic(spark: SparkSession, folder: str) -> DataFrame:
     raw = F.col("embedding").cast("array<double>")
     doubled = vectors.divide_by(vectors.scale_by(vectors.add(raw, raw), F.lit(3.0)), F.lit(2.0))
@@ -221,7 +227,7 @@ def clusters_by_name(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        feature_means, scaled_lines, scaled_embeddings, scaled_songs, vector_arithmetic, initial_centers,
+        feature_means, scaled_lines, assembled_lines, scaled_embeddings, scaled_songs, vector_arithmetic, initial_centers,
         nearest_center, nearest_center_blocks, kmeans_centers, kmeans_embeddings_assign, kmeans_assign, kmeans_delta,
         kmedoids_centers, kmedoids_assign, kmedoids_delta, cluster_means, cluster_medoids, mean_error, center_shift,
         lost_clusters, wsos_by_k, elbow_table, elbow_k, grid_runs, grid_medoid_runs, grid_assignments, cluster_sizes,

@@ -295,6 +295,7 @@ FROM part ORDER BY work, run_id""",
         for c in LINE_FEATURES
     ),
     "scaled_lines": f"WITH {LINE_POINTS} SELECT id, CAST(dim AS INTEGER) AS dim, round(val, 6) + 0.0 AS val FROM pts",
+    "assembled_lines": f"WITH {LINE_POINTS} SELECT id, CAST(dim AS INTEGER) AS dim, round(val, 6) + 0.0 AS val FROM pts",
     "scaled_embeddings": f"""
 WITH {EMBEDDING_POINTS} SELECT id, label, CAST(dim AS INTEGER) AS dim, round(val, 6) + 0.0 AS val FROM pts""",
     "scaled_songs": f"""

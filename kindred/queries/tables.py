@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions.text import mode_code
+from kindred.functions.vectors import assemble
 from kindred.operators.prepare import ordered_lists
 from kindred.operators.scale import scaled_features, scaled_vectors
 from kindred.schema import FEATURES
@@ -81,10 +82,12 @@ def song_points(spark: SparkSession, folder: str) -> DataFrame:
     return scaled_features(featured_songs(spark, folder), FEATURES, ["id", "title", "artist"])
 
 
-def line_points(spark: SparkSession, folder: str) -> DataFrame:
+def line_points(spark: SparkSession, folder: str, scale: bool = True) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
     identity = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quantity).alias("id")
     lines = read(spark, folder, "lineitem").select(identity, *LINE_FEATURES)
+    if not scale:
+        return lines.select("id", assemble(LINE_FEATURES).alias("features"))
     return scaled_features(lines, LINE_FEATURES, ["id"])
 
 

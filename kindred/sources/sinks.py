@@ -42,16 +42,18 @@ def write_setups(setups: DataFrame, path: str) -> None:
     _write_lines(setups.coalesce(1).sortWithinPartitions("run_id").select(line.alias("value")), path)
 
 
-def write_assignments(assignments: DataFrame, path: str) -> None:
-    """Assignments as Parquet, one folder for each run, ordered by cluster within its files.
+def write_assignments(assignments: DataFrame, runs: DataFrame, path: str) -> None:
+    """Assignments as Parquet, a folder for each K and run, ordered by cluster within its files.
 
     Range partitioning by run, cluster and a hash of the id spreads a big cluster over many files.
     It samples its input, so the assignments are worked out and written down before.
     """
     placed = materialize(assignments, "assignments")
     ranged = placed.repartitionByRange("run_id", "cluster", F.xxhash64("id"))
+    # The runs table has one row for each setup.
+    ranged = ranged.join(F.broadcast(runs.select("run_id", "k")), "run_id")
     ranged = ranged.sortWithinPartitions("run_id", "cluster", "id")
-    ranged.write.mode("overwrite").partitionBy("run_id").parquet(path)
+    ranged.write.mode("overwrite").partitionBy("k", "run_id").parquet(path)
 
 
 def write_assignment_lines(assignments: DataFrame, path: str) -> None:
@@ -71,7 +73,7 @@ def write_clustering(clustering, path: str) -> None:
     """The runs, centers and assignments of a clustering, each as a table under ``path``."""
     clustering.runs.coalesce(1).write.mode("overwrite").parquet(f"{path}/runs")
     clustering.centers.write.mode("overwrite").parquet(f"{path}/centers")
-    write_assignments(clustering.assignments, f"{path}/assignments")
+    write_assignments(clustering.assignments, clustering.runs, f"{path}/assignments")
 
 
 def _write_lines(lines: DataFrame, path: str) -> None:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from kindred.operators.centers import name_centers
 from kindred.plans import jobs
 from kindred.plans.choose_k import best_k, elbow
 from kindred.schema import FEATURES
-from kindred.session import fresh_path, materialize
+from kindred.session import fresh_path, materialize, shared_folder
 from kindred.sources import results, sinks, songs
 
 
@@ -57,6 +58,15 @@ def test_songs_meet_their_clusters(spark):
     assert rows(by_name, "id", "cluster", "copies") == [("1", 3, 2), ("1", 4, 1), ("2", 3, 2), ("2", 4, 1)]
 
 
+def test_a_cluster_session_must_name_the_shared_folder():
+    unset = SimpleNamespace(get=lambda name, default: default)
+    session = SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    session.conf = SimpleNamespace(get=lambda name, default: "hdfs:///shared/")
+    assert shared_folder(session) == "hdfs:///shared"
+
+
 def test_written_tables_are_worked_out_once(spark):
     table = materialize(spark.range(5).withColumn("r", F.rand()), "once")
     assert rows(table) == rows(table) and table.columns == ["id", "r"]
@@ -117,6 +127,7 @@ def test_sweep_from_files_to_files(spark, catalog, feature_file):
     assert [row[0] for row in rows(read)] == [2, 3, 4]
     assert len(list((catalog / "sweep_errors").glob("part-*"))) == 1
     placed = spark.read.parquet(f"{out}/assignments")
+    assert rows(placed.select("run_id", "k").distinct()) == [(0, 2), (1, 4), (2, 3)]
     assert placed.count() == 3 * spark.read.text(feature_file).count()
     assert [row["k"] for row in jobs.choose_k(spark, errors).collect()] == [2, 3, 4]
     sinks.write_assignment_lines(placed.filter("run_id = 0"), str(catalog / "lines"))
