@@ -13,8 +13,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 
-# Distances held at once, few enough to stay in a core's cache.
-BLOCK = 1 << 18
+# Distances and points taken at once, few enough to stay in a core's cache.
+BLOCK = 1 << 19
+BLOCK_ROWS = 4096
 
 
 def matrix(column) -> np.ndarray:
@@ -44,29 +45,36 @@ def nearest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.nda
     nearest, the few candidates are compared by plain differences in double precision, so the
     answer is exact and ties go to the first center.
     """
-    best = np.empty(len(points), dtype=np.int64)
+    size, dims = centers.shape
+    best, distance = np.empty(len(points), dtype=np.int64), np.empty(len(points))
     norms = np.einsum("ij,ij->i", centers, centers)
     sizes = np.einsum("ij,ij->i", points, points) + norms.max()
     precision = np.float32 if sizes.max() < 1e30 else np.float64
-    slack = 8 * (centers.shape[1] + 4) * np.finfo(precision).eps * sizes + 1e-37
-    turned, norms = (-2.0 * centers.T).astype(precision), norms.astype(precision)
-    step = max(1, BLOCK // len(centers))
+    slack = (8 * (dims + 4) * np.finfo(precision).eps * sizes + 1e-37).astype(precision)
+
+    # A point with a 1 after it, times the centers with their norms below: |c|^2 - 2 p.c.
+    turned = np.vstack([-2.0 * centers.T, norms]).astype(precision)
+    step = max(1, min(BLOCK // size, BLOCK_ROWS, len(points)))
+    wide, gaps = np.ones((step, dims + 1), dtype=precision), np.empty((step, size), dtype=precision)
     for start in range(0, len(points), step):
         rows = slice(start, start + step)
-        best[rows] = _nearest_block(points[rows], centers, turned, norms, slack[rows])
-    return best, squared_gaps(points, centers[best])
+        some = points[rows]
+        wide[: len(some), :dims] = some
+        np.matmul(wide[: len(some)], turned, out=gaps[: len(some)])
+        chosen = _least(some, centers, gaps[: len(some)], slack[rows])
+        best[rows], distance[rows] = chosen, squared_gaps(some, centers[chosen])
+    return best, distance
 
 
-def _nearest_block(points, centers, turned, norms, slack) -> np.ndarray:
-    gaps = points.astype(turned.dtype) @ turned
-    gaps += norms
-    best = gaps.argmin(axis=1)
+def _least(points, centers, gaps, slack) -> np.ndarray:
+    """The nearest center from ranks that are off by up to ``slack``; overwrites the ranks."""
     rows = np.arange(len(points))
-    limit = gaps[rows, best] + slack.astype(turned.dtype)
+    best = gaps.argmin(axis=1)
+    limit = gaps[rows, best] + slack
     gaps[rows, best] = np.inf
     unsure = np.flatnonzero(gaps.min(axis=1) <= limit)
     gaps[rows, best] = -np.inf
-    step = max(1, 4 * BLOCK // centers.size)
+    step = max(1, 2 * BLOCK // centers.size)
     for start in range(0, len(unsure), step):
         some = unsure[start : start + step]
         best[some] = _nearest_candidate(points[some], centers, gaps[some] <= limit[some, None])
