@@ -86,12 +86,15 @@ def _draw(points: DataFrame, wanted: dict[int, int], limits: dict[int, str | Non
 
 
 def cluster_means(assigned: DataFrame, dims: int) -> DataFrame:
-    """Mean of each dimension over each cluster: ``(run_id, cluster, n, center)``."""
+    """Mean of each dimension over each cluster: ``(run_id, cluster, n, sse, center)``.
+
+    ``sse`` is the sum of the ``distance`` column, the squared error about the deciding centers.
+    """
     means = [F.avg(F.get("features", F.lit(i))).alias(f"m{i}") for i in range(dims)]
     return (
         assigned.groupBy("run_id", "cluster")
-        .agg(F.count(F.lit(1)).alias("n"), *means)
-        .select("run_id", "cluster", "n", F.array(*[f"m{i}" for i in range(dims)]).alias("center"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("distance").alias("sse"), *means)
+        .select("run_id", "cluster", "n", "sse", F.array(*[f"m{i}" for i in range(dims)]).alias("center"))
     )
 
 
@@ -139,6 +142,20 @@ def mean_error(assigned: DataFrame, centers: DataFrame) -> DataFrame:
     return assigned.join(targets, ["run_id", "cluster"]).groupBy("run_id").agg(F.avg(distance).alias("wsos"))
 
 
+def error_after_move(before: DataFrame, means: DataFrame, after: DataFrame) -> DataFrame:
+    """The same as :func:`mean_error`, from tables of one row per cluster instead of the points.
+
+    The squared error about any place is that about the mean plus ``n`` times the squared
+    distance between the two.
+    """
+    places = [before.select("run_id", "cluster", F.col("center").alias("was")),
+              after.select("run_id", "cluster", F.col("center").alias("now"))]
+    joined = means.join(places[0], ["run_id", "cluster"]).join(places[1], ["run_id", "cluster"])
+    about_mean = F.greatest(F.col("sse") - F.col("n") * squared_distance(F.col("center"), F.col("was")), F.lit(0.0))
+    error = about_mean + F.col("n") * squared_distance(F.col("center"), F.col("now"))
+    return joined.groupBy("run_id").agg((F.sum(error) / F.sum("n")).alias("wsos"))
+
+
 def cluster_sizes(assignments: DataFrame) -> DataFrame:
     return assignments.groupBy("run_id", "cluster").agg(F.count(F.lit(1)).alias("size"))
 

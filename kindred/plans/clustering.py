@@ -25,7 +25,9 @@ from pyspark.storagelevel import StorageLevel
 from kindred.functions.kernels import distinct, matrix, medoids_task, squared_gaps, sums_task
 from kindred.functions.vectors import squared_distance
 from kindred.operators.assign import MODEL_BYTES, assign_points, nearest_centers
-from kindred.operators.centers import center_shift, cluster_means, cluster_medoids, initial_centers, mean_error
+from kindred.operators.centers import (
+    center_shift, cluster_means, cluster_medoids, error_after_move, initial_centers,
+)
 from kindred.schema import ALGORITHMS, SETUP_SCHEMA
 from kindred.session import materialize
 
@@ -285,12 +287,11 @@ def _in_tables(
     log: list[tuple] = []
     while not log or (log[-1][3] > setup["epsilon"] and len(log) < setup["max_iters"]):
         assigned = nearest_centers(working, centers, model_bytes, write=True).select("*", run_id)
-        moved = materialize(cluster_means(assigned, dims), "centers")
-        if algorithm == "kmedoids":
-            moved = materialize(cluster_medoids(assigned, moved), "centers")
+        means = materialize(cluster_means(assigned, dims), "centers")
+        moved = means if algorithm == "kmeans" else materialize(cluster_medoids(assigned, means), "centers")
         moved = moved.select("run_id", "cluster", "center")
         delta = center_shift(centers, moved).first()["delta"]
-        error = mean_error(assigned, moved).first()["wsos"]
+        error = error_after_move(centers, means, moved).first()["wsos"]
         log.append((setup["run_id"], len(log) + 1, moved.count(), delta, error))
         centers = moved
 

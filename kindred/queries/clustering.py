@@ -140,6 +140,13 @@ def mean_error(spark: SparkSession, folder: str) -> DataFrame:
     return centers.mean_error(assigned, centers.cluster_means(assigned, 13)).select(_rounded("wsos"))
 
 
+def error_after_move(spark: SparkSession, folder: str) -> DataFrame:
+    assigned, first = _assigned_once(spark, folder)
+    means = centers.cluster_means(assigned, 13)
+    medoids = centers.cluster_medoids(assigned, means)
+    return centers.error_after_move(first, means, medoids).select(_rounded("wsos"))
+
+
 def center_shift(spark: SparkSession, folder: str) -> DataFrame:
     assigned, first = _assigned_once(spark, folder)
     return centers.center_shift(first, centers.cluster_means(assigned, 13)).select(_rounded("delta"))
@@ -229,7 +236,7 @@ QUERIES = {
     for query in (
         feature_means, scaled_lines, assembled_lines, scaled_embeddings, scaled_songs, vector_arithmetic, initial_centers,
         nearest_center, nearest_center_blocks, kmeans_centers, kmeans_embeddings_assign, kmeans_assign, kmeans_delta,
-        kmedoids_centers, kmedoids_assign, kmedoids_delta, cluster_means, cluster_medoids, mean_error, center_shift,
+        kmedoids_centers, kmedoids_assign, kmedoids_delta, cluster_means, cluster_medoids, mean_error, error_after_move, center_shift,
         lost_clusters, wsos_by_k, elbow_table, elbow_k, grid_runs, grid_medoid_runs, grid_assignments, cluster_sizes,
         sorted_assignments, center_names, radio, cluster_playlists, clusters_by_name,
     )

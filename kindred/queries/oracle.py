@@ -324,6 +324,7 @@ SELECT CAST(cluster AS INTEGER) AS cluster, n, CAST(dim AS INTEGER) AS dim, roun
 FROM c1 JOIN (SELECT cluster, count(*) AS n FROM a1 GROUP BY cluster) USING (cluster)""",
     "cluster_medoids": SONG_STEP_MEDOIDS + "\nSELECT CAST(cluster AS INTEGER) AS cluster, id FROM m1",
     "mean_error": SONG_STEP + "\nSELECT round(wsos, 4) AS wsos FROM h1",
+    "error_after_move": SONG_STEP_MEDOIDS + "\nSELECT round(wsos, 4) AS wsos FROM h1",
     "center_shift": SONG_STEP + "\nSELECT round(delta, 4) AS delta FROM h1",
     "lost_clusters": SONG_STEP + f"""
 SELECT DISTINCT CAST(cluster + {SONG_RUN[0]} AS INTEGER) AS cluster FROM c1""",
