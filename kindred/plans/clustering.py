@@ -31,9 +31,11 @@ from kindred.operators.centers import (
 from kindred.schema import ALGORITHMS, SETUP_SCHEMA
 from kindred.session import materialize
 
-# A partition this many times the mean is too big; distances per core and pass that pay for a shuffle.
+# A partition this many times the mean is too big.
 _UNEVEN = 4
+# Distances of a pass: per core, enough to pay for a shuffle; per task, enough to pay for its start.
 _WORTH_SPREADING = 1_000_000
+_WORK_PER_TASK = 100_000_000
 
 _HISTORY = "run_id int, iter int, clusters long, delta double, wsos double"
 _RUNS = "run_id int, k int, seed int, max_iters int, epsilon double, iters int, delta double, wsos double"
@@ -122,23 +124,30 @@ def cluster(
 
 
 def _spread(working: DataFrame, centers: int) -> tuple[DataFrame, int]:
-    """Points over enough partitions, and their number.
+    """Points in partitions that suit the passes, and their number.
 
     Every pass costs a task time in proportion to its points, so few or uneven partitions (one
     small file, a join on a hot key) are evened out once, by id, where the work is worth it.
+    Many tiny ones, which cost more to start than to work through, are put together.
     """
     sizes = [row["count"] for row in working.groupBy(F.spark_partition_id()).count().collect()]
     total = sum(sizes)
     if not total:
         raise ValueError("there are no points")
     cores = working.sparkSession.sparkContext.defaultParallelism
+    work = total * centers
+    tasks = max(cores, min(len(sizes), work // _WORK_PER_TASK))
     uneven = len(sizes) < cores or max(sizes) > _UNEVEN * total / len(sizes)
-    if not uneven or total * centers < cores * _WORTH_SPREADING:
+    if uneven and work >= cores * _WORTH_SPREADING:
+        better = working.repartition(tasks, "id")
+    elif len(sizes) > 2 * tasks:
+        better = working.coalesce(tasks)
+    else:
         return working, total
-    even = working.repartition(max(cores, len(sizes)), "id").persist(StorageLevel.MEMORY_AND_DISK)
-    even.count()
+    better = better.persist(StorageLevel.MEMORY_AND_DISK)
+    better.count()
     working.unpersist()
-    return even, total
+    return better, total
 
 
 def _check_setups(asked: list[Row]) -> None:

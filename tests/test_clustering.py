@@ -136,13 +136,14 @@ def test_agrees_with_the_library_clustering_from_the_same_start(spark):
     assert np.allclose(mine, model.clusterCenters)
 
 
-def test_few_partitions_are_evened_out(spark, monkeypatch):
-    monkeypatch.setattr(clustering, "_WORTH_SPREADING", 1)
-    points = points_of(spark, RANDOM, 1)
-    working, total = clustering._spread(points.persist(), 5)
+@pytest.mark.parametrize("partitions,worth", [(1, 1), (60, 1_000_000)])
+def test_partitions_are_made_to_suit(spark, monkeypatch, partitions, worth):
+    monkeypatch.setattr(clustering, "_WORTH_SPREADING", worth)
+    working, total = clustering._spread(points_of(spark, RANDOM, partitions).persist(), 5)
     assert total == 50 and working.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert rows(working, "id") == sorted([(i,) for i in range(50)], key=repr)
     with pytest.raises(ValueError):
-        clustering._spread(points.limit(0), 5)
+        clustering._spread(working.limit(0), 5)
 
 
 def test_more_clusters_than_points_takes_all(spark):
