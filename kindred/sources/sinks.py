@@ -52,7 +52,8 @@ def write_assignments(assignments: DataFrame, runs: DataFrame, path: str) -> Non
     ranged = placed.repartitionByRange("run_id", "cluster", F.xxhash64("id"))
     # The runs table has one row for each setup.
     ranged = ranged.join(F.broadcast(runs.select("run_id", "k")), "run_id")
-    ranged = ranged.sortWithinPartitions("run_id", "cluster", "id")
+    # Folder columns first, so that the writer keeps this order.
+    ranged = ranged.sortWithinPartitions("k", "run_id", "cluster", "id")
     ranged.write.mode("overwrite").partitionBy("k", "run_id").parquet(path)
 
 

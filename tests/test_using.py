@@ -4,6 +4,7 @@ import json
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from conftest import points_of, rows
 from pyspark.sql import functions as F
@@ -130,6 +131,9 @@ def test_sweep_from_files_to_files(spark, catalog, feature_file):
     assert rows(placed.select("run_id", "k").distinct()) == [(0, 2), (1, 4), (2, 3)]
     assert placed.count() == 3 * spark.read.text(feature_file).count()
     assert [row["k"] for row in jobs.choose_k(spark, errors).collect()] == [2, 3, 4]
+    for file in (catalog / "sweep" / "assignments").rglob("*.parquet"):
+        written = pq.ParquetFile(file).read(columns=["cluster"])["cluster"].to_pylist()
+        assert written == sorted(written)
     sinks.write_assignment_lines(placed.filter("run_id = 0"), str(catalog / "lines"))
     back = results.read_assignments(spark, str(catalog / "lines"))
     assert rows(back) == rows(placed.filter("run_id = 0"), "cluster", "title", "artist")
