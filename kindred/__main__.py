@@ -1,4 +1,4 @@
-"""Run a program: ``spark-submit -m kindred create|sweep|grid|elbow ...``."""
+"""Run a program: ``python -m kindred create|sweep|grid|elbow ...``."""
 
 from __future__ import annotations
 
