@@ -61,7 +61,7 @@ def mismatch(spark, connection, folder: str, name: str) -> str | None:
 
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:] or list(contract.queries())
+    wanted = sys.argv[2:] or list(contract.oracle_sql())
     spark = build_session(
         spark__master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="8g",
