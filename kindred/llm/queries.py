@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import license_scan, quality_rules, sharding
+import public_tokenizers
+
+from kindred.llm import bpe, license_scan, quality_rules, sharding, token_counts, warc
+from kindred.session import fresh_path
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,8 +39,33 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def byte_bpe(spark: SparkSession) -> bpe.Vocabulary:
+    return bpe.Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Write every page to archives in the shared folder and read them back."""
+    path = fresh_path(spark, "warc")
+    warc.write_archives(read(spark, folder, "pages"), path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode(read(spark, folder, "documents"), ["doc_id"], byte_bpe(spark), output="digests")
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every line of every document, from one encoding of the document."""
+    sections = read(spark, folder, "documents").select("doc_id", token_counts.sections("text").alias("sections"))
+    return token_counts.count_by_part(sections, ["doc_id"], byte_bpe(spark), "sections")
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op1_license_scan, op2_sharding, op3_quality_rules)
+    for query in (
+        op1_license_scan, op2_sharding, op3_quality_rules, op5_warc, op6_byte_bpe, op8_token_counts,
+    )
 }
 SQL: dict[str, str] = {}
