@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kindred.llm import bpe, license_scan, quality_rules, sharding, token_counts, warc
+from kindred.llm import bpe, license_scan, minhash, quality_rules, sharding, token_counts, warc
 from kindred.session import fresh_path
 
 
@@ -56,6 +56,10 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(read(spark, folder, "documents"), ["doc_id"], byte_bpe(spark), output="digests")
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, folder, "documents"), size=3, threshold=0.85)
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every line of every document, from one encoding of the document."""
     sections = read(spark, folder, "documents").select("doc_id", token_counts.sections("text").alias("sections"))
@@ -65,7 +69,7 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_license_scan, op2_sharding, op3_quality_rules, op5_warc, op6_byte_bpe, op8_token_counts,
+        op1_license_scan, op2_sharding, op3_quality_rules, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts,
     )
 }
 SQL: dict[str, str] = {}
