@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kindred.llm import bpe, license_scan, minhash, quality_rules, sharding, token_counts, warc
+from kindred.llm import bpe, decontaminate, license_scan, minhash, quality_rules, sharding, token_counts, warc
 from kindred.session import fresh_path
 
 
@@ -43,6 +43,10 @@ def byte_bpe(spark: SparkSession) -> bpe.Vocabulary:
     return bpe.Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Write every page to archives in the shared folder and read them back."""
     path = fresh_path(spark, "warc")
@@ -69,7 +73,7 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_license_scan, op2_sharding, op3_quality_rules, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts,
+        op1_license_scan, op2_sharding, op3_quality_rules, op4_decontamination, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts,
     )
 }
 SQL: dict[str, str] = {}
