@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kindred.llm import bpe, decontaminate, license_scan, minhash, quality_rules, sharding, token_counts, warc
+from kindred.llm import bpe, decontaminate, license_scan, lm, minhash, quality_rules, sharding, token_counts, warc
 from kindred.session import fresh_path
 
 
@@ -70,10 +70,14 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_by_part(sections, ["doc_id"], byte_bpe(spark), "sections")
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(read(spark, folder, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_license_scan, op2_sharding, op3_quality_rules, op4_decontamination, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts,
+        op1_license_scan, op2_sharding, op3_quality_rules, op4_decontamination, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts, op9_lm_scoring,
     )
 }
 SQL: dict[str, str] = {}
