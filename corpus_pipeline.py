@@ -1,12 +1,56 @@
-"""A training-data pipeline over ``documents``: each stage works on all that the one before it kept."""
+"""A training-data pipeline over ``documents``: each stage works on all that the one before it kept.
+
+Documents that the quality classifier or the quality rules reject go, of every group of near-duplicates one stays,
+documents that hold a passage of the benchmark go, and what is left is encoded. A stage's result is written to
+the shared folder as Parquet and read back, so a lost executor costs at most a stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from kindred.llm import bpe, cnn, decontaminate, minhash, quality_rules
+from kindred.llm.queries import byte_bpe, read
+from kindred.session import materialize
+
+#: The pipeline has operators that SQL cannot express.
 ORACLE_SQL = None
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return cnn.passing(docs, cnn.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def quality_rule_cascade(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.passing(docs)
+
+
+def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.deduplicated(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and digests of them and of the bytes they decode to."""
+    keep = [name for name in docs.columns if name in ("doc_id", "lang", "source", "n_chars")]
+    return bpe.encode(docs, keep, byte_bpe(spark), output="both")
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("quality_rules", quality_rule_cascade),
+    ("minhash_dedup", minhash_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("byte_bpe", byte_bpe_encoding),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """What the last stage makes of ``documents``."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

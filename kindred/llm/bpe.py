@@ -178,6 +178,10 @@ def _digest_row(ids: list[int], decoded: bytes) -> tuple[int, str, str]:
 #: What a caller wants of each text: the columns, and how they follow from tokens and decoded bytes.
 OUTPUTS = {
     "tokens": (_FIELDS, lambda ids, decoded: (ids, decoded)),
+    "both": (
+        "n_tokens bigint, ids array<int>, ids_sha256 string, decoded_sha256 string",
+        lambda ids, decoded: (len(ids), ids, *_digest_row(ids, decoded)[1:]),
+    ),
     "digests": ("n_tokens bigint, ids_sha256 string, decoded_sha256 string", _digest_row),
 }
 

@@ -243,3 +243,11 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         F.size(ids).cast("bigint").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without an occurrence; all rows of an id go if one of them has one."""
+    hit = contamination(docs, items, doc_id, text).filter("contaminated").select(F.col(doc_id).alias("_hit")).distinct()
+    # Written, so that Spark knows how few they are.
+    hit = materialize(hit, "contaminated-ids")
+    return docs.join(hit, docs[doc_id].eqNullSafe(F.col("_hit")), "left_anti")

@@ -332,3 +332,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col("_id").alias(doc_id), "n_shingles", component.alias("component_id"),
         component.eqNullSafe(F.col("_id")).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that stay: of every component the one with the smallest id.
+
+    Rows of one id that are copies of each other are one row. Rows without an id cannot be told
+    apart; of those with one text one stays.
+    """
+    found = near_duplicates(docs.filter(docs[doc_id].isNotNull()), doc_id, text, size, threshold).filter("kept")
+    ids = materialize(found.groupBy(F.col(doc_id).alias("_id")).agg(F.count(F.lit(1)).alias("_rows")), "kept-ids")
+    named = docs.join(ids.select("_id"), docs[doc_id] == F.col("_id")).drop("_id")
+    if not ids.filter("_rows > 1").isEmpty():
+        named = named.dropDuplicates([doc_id, text])
+    return named.unionByName(docs.filter(docs[doc_id].isNull()).dropDuplicates([text]))

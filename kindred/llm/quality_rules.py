@@ -157,6 +157,13 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text",
     return judged.withColumn("kept", F.col("failed").isNull())
 
 
+def passing(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, as they are."""
+    rules = RULES if rules is None else rules
+    order = ordered_rules(rules, estimates(docs, rules, text, sample_rows))
+    return docs.filter(first_failed(order, measures(docs[text])).isNull())
+
+
 def judge_with_measures(docs: DataFrame, keep: list[str], rules: list[Rule] | None = None, text: str = "text",
                         sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``keep``, every measure, ``failed`` and ``kept``: the cascade over measures that are wanted anyway."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kindred.llm import bpe, decontaminate, license_scan, lm, minhash, quality_rules, sharding, token_counts, warc
+from kindred.llm import bpe, cnn, decontaminate, license_scan, lm, minhash, quality_rules, sharding, token_counts, warc
 from kindred.session import fresh_path
 
 
@@ -74,10 +74,18 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(read(spark, folder, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    weights = cnn.fit(documents, read(spark, folder, "labels"))
+    scored = cnn.classify(documents, weights, ["doc_id"])
+    return scored.select("doc_id", cnn.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_license_scan, op2_sharding, op3_quality_rules, op4_decontamination, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts, op9_lm_scoring,
+        op10_quality_classifier,
     )
 }
 SQL: dict[str, str] = {}
