@@ -41,12 +41,31 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+NEVER = 1 << 30
+
+
+class _Joined(dict):
+    """The rank of two tokens put together, by both numbers; looked up in the vocabulary once."""
+
+    def __init__(self, ranks: dict[bytes, int], tokens: dict[int, bytes]):
+        self.ranks, self.tokens = ranks, tokens
+
+    def __missing__(self, pair: int) -> int:
+        if len(self) >= CACHED_PIECES:
+            self.clear()
+        rank = self.ranks.get(self.tokens[pair >> 17] + self.tokens[pair & 0x1FFFF], NEVER)
+        self[pair] = rank
+        return rank
+
+
 class Codec:
     """Pre-tokenising, merging and decoding by one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.of_byte = [ranks.get(bytes([b])) for b in range(256)]
+        self.joined = _Joined(ranks, self.tokens)
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[int, ...]] = {}
 
@@ -72,19 +91,21 @@ class Codec:
             return (whole,)
         if len(piece) > 200:
             return _merge_long(piece, ranks)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            best = min((rank for rank in pairs if rank is not None), default=None)
-            if best is None:
-                return tuple(ranks[part] for part in parts)
+        # A joined token's number is its rank.
+        ids, joined = [self.of_byte[b] for b in piece], self.joined
+        pairs = [joined[a << 17 | b] for a, b in zip(ids, ids[1:])]
+        while pairs:
+            best = min(pairs)
+            if best == NEVER:
+                break
             i = pairs.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
+            ids[i] = best
+            del ids[i + 1], pairs[i]
             if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1])
+                pairs[i] = joined[best << 17 | ids[i + 1]]
             if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i])
+                pairs[i - 1] = joined[ids[i - 1] << 17 | best]
+        return tuple(ids)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
