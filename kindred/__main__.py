@@ -1,4 +1,4 @@
-"""Run a program: ``python -m kindred create|sweep|grid|elbow ...``."""
+"""Run a program: ``python -m kindred create|sweep|grid|elbow|radio ...``."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from kindred.plans import jobs
 from kindred.schema import ALGORITHMS
 from kindred.session import build_session
 
+FORMS = ("text", "parquet")
+
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="kindred")
@@ -28,6 +30,7 @@ def main(arguments: list[str] | None = None) -> None:
     sweep.add_argument("max_iters", type=int)
     sweep.add_argument("seed", type=int)
     sweep.add_argument("algorithm", choices=ALGORITHMS)
+    sweep.add_argument("--form", choices=FORMS, default="text", help="of the songs")
 
     grid = programs.add_parser("grid", help="one clustering for each line of a setup file")
     grid.add_argument("songs")
@@ -35,11 +38,16 @@ def main(arguments: list[str] | None = None) -> None:
     grid.add_argument("output")
     grid.add_argument("algorithm", choices=ALGORITHMS)
     grid.add_argument("--name-centers", action="store_true")
+    grid.add_argument("--form", choices=FORMS, default="text", help="of the songs")
 
     elbow = programs.add_parser("elbow", help="the table for choosing K")
     elbow.add_argument("errors")
     elbow.add_argument("--whole-results", action="store_true")
 
+    radio = programs.add_parser("radio", help="more like one song")
+    radio.add_argument("assignments")
+    radio.add_argument("song_id")
+
     given = parser.parse_args(arguments)
     spark = build_session()
     if given.program == "create":
@@ -47,10 +55,12 @@ def main(arguments: list[str] | None = None) -> None:
     elif given.program == "sweep":
         jobs.sweep(
             spark, given.songs, given.output, given.errors, given.k_values,
-            given.epsilon, given.max_iters, given.seed, given.algorithm,
+            given.epsilon, given.max_iters, given.seed, given.algorithm, given.form,
         )
     elif given.program == "grid":
-        jobs.grid(spark, given.songs, given.setups, given.output, given.algorithm, given.name_centers)
+        jobs.grid(spark, given.songs, given.setups, given.output, given.algorithm, given.name_centers, given.form)
+    elif given.program == "radio":
+        jobs.radio(spark, given.assignments, given.song_id).show(1000, truncate=False)
     else:
         jobs.choose_k(spark, given.errors, given.whole_results).show(1000, truncate=False)
 

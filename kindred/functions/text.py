@@ -14,7 +14,13 @@ def track_id(uri: Column) -> Column:
 
 
 def without_commas(value: Column) -> Column:
-    return F.translate(value, ",", "")
+    """A name that cannot end a field or a line: no commas, blanks for tabs and line ends, null is empty."""
+    return F.translate(one_field(value), ",", "")
+
+
+def one_field(value: Column) -> Column:
+    """A text as one field of a line delimited by tabs; null is empty."""
+    return F.translate(F.coalesce(value, F.lit("")), "\t\n\r", "   ")
 
 
 def mode_code(mode: Column) -> Column:
@@ -25,7 +31,12 @@ def mode_code(mode: Column) -> Column:
 def feature_text() -> Column:
     """Title, artist and the thirteen features, comma separated in file order."""
     names = [without_commas(F.col(name)) for name in SONG_TEXT_COLUMNS[1:]]
-    return F.concat_ws(",", *names, *[F.col(name).cast("string") for name in FEATURES])
+    return F.concat_ws(",", *names, *[_feature(name) for name in FEATURES])
+
+
+def _feature(name: str) -> Column:
+    message = F.concat(F.lit(f"no {name}: "), F.coalesce("id", F.lit("")))
+    return F.when(F.col(name).isNull(), F.raise_error(message)).otherwise(F.col(name).cast("string"))
 
 
 def feature_line() -> Column:
@@ -46,13 +57,13 @@ def encode_list(values: Column) -> Column:
 def decode_list(value: Column) -> Column:
     """``[a;b;c]`` as an integer array; text of two characters or fewer is the empty array."""
     parts = F.split(F.translate(value, "[]", ""), ";")
-    numbers = F.transform(parts, lambda part: part.cast("int"))
-    return F.when(F.length(value) > 2, numbers).otherwise(F.array().cast("array<int>"))
+    numbers = F.transform(parts, lambda part: part.cast("bigint"))
+    return F.when(F.length(value) > 2, numbers).otherwise(F.array().cast("array<bigint>"))
 
 
 def integer_list(value: Column) -> Column:
     """A comma separated list as an integer array."""
-    return F.transform(F.split(value, ","), lambda part: F.trim(part).cast("int"))
+    return F.transform(F.split(value, ","), lambda part: F.trim(part).cast("bigint"))
 
 
 def parse_integers(value: str) -> list[int]:

@@ -1,7 +1,7 @@
 """Building the song table: lists per key, one row per song, features and playlists attached.
 
-A list per key is one row only while it is short. A key may hold a large share of all rows, so
-lists longer than ``max_items`` are cut into numbered parts, in order and complete; such keys
+Lists have a row for each part of at most ``max_items`` values, numbered, in order and complete; the text
+forms carry the number too. A key may hold a large share of all rows, so keys of several parts
 take a path of their own that never brings their rows together in one task.
 """
 
@@ -46,8 +46,13 @@ def ordered_lists(
     long_keys = materialize(counts.select(key), "long-keys")
     if long_keys.isEmpty():
         return Lists(_short_lists(rows, key, order, value, name), None, None)
-    short = _short_lists(rows.join(long_keys, key, "left_anti"), key, order, value, name)
-    long = _long_lists(rows.join(long_keys, key, "left_semi"), key, order, value, name, max_items)
+    # One more scan tells the rows of both kinds apart. They are read back without a partitioning by
+    # key, so the groups below are spread by what they group by.
+    marks = long_keys.select(F.col(key).alias("_key"), F.lit(True).alias("_marked"))
+    marked = rows.join(marks, F.col(key).eqNullSafe(F.col("_key")), "left")
+    marked = materialize(marked.select(*columns, F.coalesce("_marked", F.lit(False)).alias("_long")), "marked-rows", by="_long")
+    short = _short_lists(marked.filter("NOT _long"), key, order, value, name)
+    long = _long_lists(marked.filter("_long").drop("_long"), key, order, value, name, max_items)
     return Lists(short, long, long_keys)
 
 
@@ -71,8 +76,9 @@ def _long_lists(
     first = materialize(placed.groupBy(key).agg(F.min("_start").alias("_first")), "list-starts")
     begin = F.col("_start") - F.col("_first")
     end = begin + F.col("_copies")
+    first = first.withColumnRenamed(key, "_key")
     pieces = (
-        placed.join(first, key)
+        placed.join(first, F.col(key).eqNullSafe(F.col("_key")))
         .withColumn("_begin", begin)
         .withColumn("_end", end)
         # A run of equal rows may span several parts.
@@ -87,8 +93,10 @@ def _long_lists(
     repeated = F.transform(
         F.array_sort("_entries"), lambda e: F.array_repeat(e["v"], e["_take"].cast("int"))
     )
+    # An exchange of its own: the join leaves all parts of a key in one place.
     return (
-        pieces.groupBy(key, "part")
+        pieces.repartition(F.col(key), F.col("part"))
+        .groupBy(key, "part")
         .agg(F.collect_list(entry).alias("_entries"))
         .select(key, F.col("part").cast("int").alias("part"), F.flatten(repeated).alias(name))
     )
@@ -118,11 +126,11 @@ def song_playlists(pairs: DataFrame, max_items: int = MAX_ITEMS) -> Lists:
 def enrich(songs: DataFrame, features: DataFrame, feature_columns: list[str]) -> DataFrame:
     """Attach features by id and mark each song ``success`` or ``failure``.
 
-    Only one row of features per id counts, the least, so copies in the feature table cannot
-    multiply songs. The join runs on the shuffle that picks it.
+    A row with a null feature is no features. Of the others one per id counts, the least, so
+    copies in the feature table cannot multiply songs. The join runs on the shuffle that picks it.
     """
     values = F.min(F.struct(*feature_columns)).alias("_features")
-    found = features.groupBy("id").agg(values)
+    found = features.dropna(subset=feature_columns).groupBy("id").agg(values)
     status = F.when(F.col("_features").isNotNull(), "success").otherwise("failure")
     return songs.join(found, "id", "left").select(
         *songs.columns, *[F.col(f"_features.{name}").alias(name) for name in feature_columns], status.alias("status")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kindred.operators import prepare
+from kindred.operators import lookup, prepare
 from kindred.operators.centers import name_centers
 from kindred.operators.scale import scaled_features
 from kindred.plans import clustering
@@ -20,22 +21,21 @@ def create_data(
     """Playlist slices and a feature table (Parquet: ``id`` and the features) to song tables.
 
     Writes under ``output``: ``playlists`` (text), ``songs`` (text), ``enriched`` (Parquet by
-    status) and ``songs_with_playlists`` (text; one line per song, or per part of a long list).
-    The JSON is parsed once, and each step reads what the one before wrote.
+    status), ``features`` (feature lines, which :func:`sweep` and :func:`grid` read, as they do
+    ``enriched/status=success``) and ``songs_with_playlists`` (text; one line per part of a song's list).
+    The JSON is parsed once, and steps go from table to table; text is only for others to read.
     """
-    sliced = materialize(slices.read_slices(spark, slices_path), "slices")
-    sinks.write_adjacency(slices.playlists_of(sliced), f"{output}/playlists")
-    unique = prepare.unique_songs(slices.tracks_of(sliced), ["slice", "pid", "pos"])
+    playlists = materialize(slices.playlists_of(slices.read_slices(spark, slices_path)), "playlists")
+    sinks.write_adjacency(playlists.withColumn("part", F.lit(0)), f"{output}/playlists")
+    tracks = slices.tracks_of(slices.read_slices(spark, slices_path))
+    unique = materialize(prepare.unique_songs(tracks, ["slice", "pid", "pos"]), "songs")
     sinks.write_unique_songs(unique, f"{output}/songs")
-
-    found = prepare.enrich(
-        songs.read_unique_songs(spark, f"{output}/songs"), spark.read.parquet(features_path), FEATURES
-    )
-    sinks.write_enriched(found, f"{output}/enriched")
+    sinks.write_enriched(prepare.enrich(unique, spark.read.parquet(features_path), FEATURES), f"{output}/enriched")
 
     # Only songs with features go on; pairs on other songs are left out by the join.
     enriched = prepare.successes(spark.read.parquet(f"{output}/enriched"))
-    pairs = prepare.adjacency_pairs(songs.read_adjacency(spark, f"{output}/playlists"))
+    sinks.write_features(enriched, f"{output}/features")
+    pairs = prepare.adjacency_pairs(playlists)
     listed = prepare.songs_with_playlists(enriched, prepare.song_playlists(pairs, max_items))
     sinks.write_songs_with_playlists(listed, f"{output}/songs_with_playlists")
 
@@ -50,9 +50,10 @@ def sweep(
     max_iters: int,
     seed: int,
     algorithm: str = "kmeans",
+    form: str = "text",
 ) -> clustering.Clustering:
     """Cluster a feature file for every K; writes assignments by run and the error of each K."""
-    points = scaled_features(songs.read_songs(spark, songs_path), FEATURES, ["id", "title", "artist"])
+    points = scaled_features(songs.read_songs(spark, songs_path, form), FEATURES, ["id", "title", "artist"])
     found = clustering.sweep_k(points, k_values, seed, max_iters, epsilon, algorithm)
     sinks.write_clustering(found, output)
     sinks.write_errors(found.runs, errors_path)
@@ -66,15 +67,21 @@ def grid(
     output: str,
     algorithm: str = "kmeans",
     named: bool = False,
+    form: str = "text",
 ) -> clustering.Clustering:
     """Cluster a feature file by every line of a setup file; centers carry song names."""
-    points = scaled_features(songs.read_songs(spark, songs_path), FEATURES, ["id", "title", "artist"])
+    points = scaled_features(songs.read_songs(spark, songs_path, form), FEATURES, ["id", "title", "artist"])
     found = clustering.cluster(points, results.read_setups(spark, setups_path), algorithm)
     found = found._replace(centers=name_centers(found.centers, points if named else None))
     sinks.write_clustering(found, output)
     return found
 
 
+def radio(spark: SparkSession, assignments_path: str, song_id: str) -> DataFrame:
+    """The other songs in the clusters of a song, from written assignments."""
+    return lookup.radio(spark.read.parquet(assignments_path), song_id)
+
+
 def choose_k(spark: SparkSession, errors_path: str, whole_results: bool = False) -> DataFrame:
     """The elbow table from written errors, of either text shape."""
     read = results.read_run_errors if whole_results else results.read_errors

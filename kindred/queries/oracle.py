@@ -172,17 +172,20 @@ def _song_lists(size: int) -> str:
     )
 
 
+_TEXTS = "SELECT doc_id::VARCHAR AS id, lang AS title, source AS artist FROM documents"
+
+
 def _with_playlists(how: str, size: int) -> str:
     return f"""
 SELECT coalesce(s.id, l.id) AS id, s.title, s.artist, CAST(coalesce(l.part, 0) AS INTEGER) AS part,
   '[' || coalesce(l.pids, '') || ']' AS playlists
-FROM (SELECT p_partkey::VARCHAR AS id, p_name AS title, p_brand AS artist FROM part WHERE p_type = 'ECONOMY') s
+FROM ({_TEXTS}) s
 {how} JOIN (
   SELECT id, part, string_agg(pid::VARCHAR, ';' ORDER BY place) AS pids FROM (
     SELECT id, pid, place, place // {size} AS part FROM (
-      SELECT l_partkey::VARCHAR AS id, l_orderkey AS pid,
-        row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey) - 1 AS place
-      FROM lineitem WHERE l_returnflag = 'R' AND l_tax > 0.06))
+      SELECT o_custkey::VARCHAR AS id, o_orderkey AS pid,
+        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS place
+      FROM orders))
   GROUP BY id, part) l USING (id)"""
 
 
@@ -223,6 +226,7 @@ _RUNS = "\nSELECT run_id, k, seed, iters, round(wsos, 4) AS wsos FROM runs"
 SQL = {
     "playlist_adjacency": _adjacency(1_000_000),
     "playlist_adjacency_parts": _adjacency(3),
+    "adjacency_part_lines": _adjacency(3),
     "adjacency_pairs": "SELECT l_partkey::VARCHAR AS id, l_orderkey AS pid FROM lineitem",
     "nested_playlists": f"""
 SELECT l_orderkey AS pid, string_agg(l_partkey::VARCHAR, ',' ORDER BY {TRACK_ORDER}) AS track_ids
@@ -238,21 +242,23 @@ SELECT id, title, artist FROM (
   SELECT l_partkey::VARCHAR AS id, l_returnflag || l_linestatus AS title, l_suppkey::VARCHAR AS artist,
     row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) AS place FROM lineitem)
 WHERE place = 1""",
-    "enrich_success": """
-SELECT p_partkey::VARCHAR AS id, p_name AS title, p_brand AS artist, p_size, p_retailprice
-FROM part WHERE p_type <> 'ECONOMY'""",
-    "enrich_failure": _SONGS + " WHERE p_type = 'ECONOMY'",
-    "missing_songs": _SONGS + " WHERE p_type = 'ECONOMY'",
+    "enrich_success": f"""
+SELECT id, title, artist, quality, toxic FROM ({_TEXTS}) JOIN (
+  SELECT doc_id::VARCHAR AS id, min(quality) AS quality, min_by(toxic, quality) AS toxic FROM labels
+  WHERE quality IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id) USING (id)""",
+    "enrich_failure": f"""
+SELECT id, title, artist FROM ({_TEXTS}) t LEFT JOIN (SELECT DISTINCT doc_id::VARCHAR AS id, true AS found FROM labels
+  WHERE quality IS NOT NULL AND toxic IS NOT NULL) USING (id) WHERE found IS NULL""",
+    "missing_songs": f"SELECT t.* FROM ({_TEXTS}) t ANTI JOIN (SELECT doc_id::VARCHAR AS id FROM labels) USING (id)",
     "song_playlists": _song_lists(1_000_000),
     "song_playlists_parts": _song_lists(30),
     "songs_with_playlists": _with_playlists("LEFT", 1_000_000),
     "songs_with_playlists_full": _with_playlists("FULL", 1_000_000),
     "songs_with_playlists_parts": _with_playlists("FULL", 4),
     "list_decode": """
-SELECT p_partkey::VARCHAR AS id, CAST(count(l_orderkey) AS INTEGER) AS n,
-  CAST(coalesce(sum(l_orderkey), 0) AS BIGINT) AS total
-FROM part LEFT JOIN lineitem ON p_partkey = l_partkey AND l_returnflag = 'R' AND l_tax > 0.06
-WHERE p_type = 'ECONOMY' GROUP BY p_partkey""",
+SELECT doc_id::VARCHAR AS id, CAST(count(o_orderkey) AS INTEGER) AS n,
+  CAST(coalesce(sum(o_orderkey + 1099511627776), 0) AS BIGINT) AS total
+FROM documents LEFT JOIN orders ON doc_id = o_custkey GROUP BY doc_id""",
     "mixed_lines": f"""
 SELECT 'P' AS kind, l_orderkey::VARCHAR AS key, string_agg(l_partkey::VARCHAR, ',' ORDER BY {TRACK_ORDER}) AS rest
 FROM lineitem GROUP BY l_orderkey
@@ -266,11 +272,15 @@ SELECT id, concat_ws(',', replace(title, ',', ''), artist,
     "feature_lines": f"WITH {FEATURED} SELECT * REPLACE (replace(title, ',', '') AS title) FROM featured",
     "feature_lines_with_playlists": f"""
 WITH {FEATURED}
-SELECT id, replace(title, ',', '') AS title, duration, tempo, coalesce(pids, '') AS playlists
+SELECT id, replace(title, ',', '') AS title, duration, tempo, CAST(coalesce(part, 0) AS INTEGER) AS part,
+  coalesce(pids, '') AS playlists
 FROM featured LEFT JOIN (
-  SELECT l_partkey::VARCHAR AS id, string_agg(l_orderkey::VARCHAR, ',' ORDER BY l_orderkey) AS pids
-  FROM lineitem WHERE l_returnflag = 'R' AND l_tax > 0.06 GROUP BY l_partkey) USING (id)""",
-    "unique_song_lines": _SONGS,
+  SELECT o_custkey::VARCHAR AS id, place // 4 AS part, string_agg(o_orderkey::VARCHAR, ',' ORDER BY place) AS pids FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS place FROM orders)
+  GROUP BY o_custkey, place // 4) USING (id)""",
+    "unique_song_lines": """
+SELECT p_partkey::VARCHAR AS id, p_name || ' "' || p_brand || ' ' AS title,
+  CASE WHEN p_brand = 'Brand#1' THEN '' ELSE p_brand END AS artist FROM part""",
     "assignment_lines": """
 SELECT p_size AS cluster, p_name || ' (live) [' || p_type || ', ' || p_partkey || ']' AS title,
   '[' || p_brand || ']' AS artist FROM part""",
@@ -281,8 +291,8 @@ SELECT k, 123 AS seed, 20 AS max_iters, 0.5::DOUBLE AS epsilon, k + 1 AS iters,
 SELECT CAST(row_number() OVER (ORDER BY p_size) - 1 AS INTEGER) AS run_id, p_size AS k, CAST(count(*) AS INTEGER) AS seed,
   20 AS max_iters, max(p_retailprice) AS epsilon FROM part GROUP BY p_size""",
     "integer_lists": """
-SELECT c_custkey, 0 AS pos, CAST(regexp_extract(c_name, '([0-9]+)', 1) AS INTEGER) AS number FROM customer
-UNION ALL SELECT c_custkey, 1, c_nationkey FROM customer""",
+SELECT c_custkey, 0 AS pos, CAST(regexp_extract(c_name, '([0-9]+)', 1) AS BIGINT) AS number FROM customer
+UNION ALL SELECT c_custkey, 1, CAST(c_nationkey AS BIGINT) FROM customer""",
     "row_numbers": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row FROM orders",
     "balanced_buckets": f"SELECT o_orderkey, bucket FROM ({_DEALT})",
     "bucket_loads": f"SELECT bucket, rows, round(load, 2) AS load FROM ({_LOADS})",

@@ -61,19 +61,20 @@ def dedup_songs(spark: SparkSession, folder: str) -> DataFrame:
     return prepare.unique_songs(named, ["l_orderkey", "l_linenumber", "l_suppkey"])
 
 
-def _part_features(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        read(spark, folder, "part")
-        .filter(F.col("p_type") != "ECONOMY")
-        .select(F.col("p_partkey").cast("string").alias("id"), "p_size", "p_retailprice")
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as songs; many have no labels, and many no orders of their number."""
+    return read(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("title"), F.col("source").alias("artist")
     )
 
 
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    return read(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("id"), "quality", "toxic")
+
+
 def _enriched(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "enriched")
-    found = prepare.enrich(
-        tables.songs(spark, folder), _part_features(spark, folder), ["p_size", "p_retailprice"]
-    )
+    found = prepare.enrich(_texts(spark, folder), _labels(spark, folder), ["quality", "toxic"])
     sinks.write_enriched(found, path)
     return spark.read.parquet(path)
 
@@ -87,7 +88,7 @@ def enrich_failure(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def missing_songs(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.missing(tables.songs(spark, folder), _part_features(spark, folder))
+    return prepare.missing(_texts(spark, folder), _labels(spark, folder))
 
 
 def song_playlists(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,21 +101,16 @@ def song_playlists_parts(spark: SparkSession, folder: str) -> DataFrame:
     return lists.select("id", "part", joined("playlists"))
 
 
-def _returned_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    returned = read(spark, folder, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_tax") > 0.06))
-    return returned.select(F.col("l_partkey").cast("string").alias("id"), F.col("l_orderkey").alias("pid"))
-
-
-def _economy_songs(spark: SparkSession, folder: str) -> DataFrame:
-    economy = read(spark, folder, "part").filter(F.col("p_type") == "ECONOMY")
-    return economy.select(
-        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("title"), F.col("p_brand").alias("artist")
+def _order_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by customer: some customers have the number of no document or part, and the other way round."""
+    return read(spark, folder, "orders").select(
+        F.col("o_custkey").cast("string").alias("id"), F.col("o_orderkey").alias("pid")
     )
 
 
 def _with_playlists(spark: SparkSession, folder: str, how: str, **limits: int) -> DataFrame:
-    lists = prepare.song_playlists(_returned_pairs(spark, folder), **limits)
-    attached = prepare.songs_with_playlists(_economy_songs(spark, folder), lists, how)
+    lists = prepare.song_playlists(_order_pairs(spark, folder), **limits)
+    attached = prepare.songs_with_playlists(_texts(spark, folder), lists, how)
     return attached.select("id", "title", "artist", "part", encode_list(F.col("playlists")).alias("playlists"))
 
 
@@ -131,8 +127,10 @@ def songs_with_playlists_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def list_decode(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = _with_playlists(spark, folder, "left")
-    decoded = encoded.select("id", decode_list(F.col("playlists")).alias("pids"))
+    """Lists as text and back, of numbers beyond 32 bits."""
+    far = _order_pairs(spark, folder).withColumn("pid", F.col("pid") + F.lit(2**40))
+    attached = prepare.songs_with_playlists(_texts(spark, folder), prepare.song_playlists(far))
+    decoded = attached.select("id", decode_list(encode_list(F.col("playlists"))).alias("pids"))
     total = F.aggregate("pids", F.lit(0).cast("long"), lambda t, v: t + v)
     return decoded.select("id", F.size("pids").alias("n"), total.alias("total"))
 
@@ -182,15 +180,27 @@ def feature_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def feature_lines_with_playlists(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "features-playlists")
-    lists = prepare.song_playlists(_returned_pairs(spark, folder))
+    lists = prepare.song_playlists(_order_pairs(spark, folder), max_items=4)
     listed = prepare.songs_with_playlists(tables.featured_songs(spark, folder), lists)
     sinks.write_songs_with_playlists(listed, path)
-    return songs.read_songs_with_playlists(spark, path).select("id", "title", "duration", "tempo", joined("playlists"))
+    found = songs.read_songs_with_playlists(spark, path)
+    return found.select("id", "title", "duration", "tempo", "part", joined("playlists"))
+
+
+def adjacency_part_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts of lists as text and back, still in order."""
+    path = fresh_path(spark, "adjacency")
+    sinks.write_adjacency(prepare.playlist_adjacency(tables.tracks(spark, folder), TRACK_ORDER, max_items=3), path)
+    return songs.read_adjacency(spark, path).select("pid", "part", joined("track_ids"))
 
 
 def unique_song_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Names with tabs, line ends and quotes, as text and back."""
     path = fresh_path(spark, "songs")
-    sinks.write_unique_songs(tables.songs(spark, folder), path)
+    odd = tables.songs(spark, folder).withColumns({
+        "title": F.concat("title", F.lit('\t"'), "artist", F.lit("\n")), "artist": F.nullif("artist", F.lit("Brand#1")),
+    })
+    sinks.write_unique_songs(odd, path)
     return songs.read_unique_songs(spark, path)
 
 
@@ -276,7 +286,7 @@ def work_order(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        playlist_adjacency, playlist_adjacency_parts, adjacency_pairs, nested_playlists, nested_tracks, nested_songs,
+        playlist_adjacency, playlist_adjacency_parts, adjacency_part_lines, adjacency_pairs, nested_playlists, nested_tracks, nested_songs,
         dedup_songs, enrich_success, enrich_failure, missing_songs, song_playlists, song_playlists_parts,
         songs_with_playlists, songs_with_playlists_full, songs_with_playlists_parts, list_decode, mixed_lines,
         song_count, json_props, feature_text_lines, feature_lines, feature_lines_with_playlists, unique_song_lines,

@@ -97,10 +97,7 @@ def embedding_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def written_slices(spark: SparkSession, folder: str) -> str:
-    """Lines packed into pretty-printed JSON files of up to 1000 playlists each.
-
-    A playlist of more than 1000 tracks goes on in a further file, so no row is unbounded.
-    """
+    """Lines packed into pretty-printed JSON files of up to 1000 playlists each."""
     track = F.struct(
         F.concat(F.lit("item:track:"), F.col("l_partkey").cast("string")).alias("track_uri"),
         F.col("p_name").alias("track_name"),
@@ -114,14 +111,14 @@ def written_slices(spark: SparkSession, folder: str) -> str:
             track.alias("track"),
         )
     )
-    playlists = ordered_lists(lines, "pid", TRACK_ORDER, "track", "tracks", max_items=1000).all()
+    playlists = ordered_lists(lines, "pid", TRACK_ORDER, "track", "tracks").all()
     packed = (
         playlists.groupBy(F.floor(F.col("pid") / 1000).alias("slice"), "part")
         .agg(F.collect_list(F.struct("pid", "tracks")).alias("playlists"))
-        .select("slice", "part", F.to_json(F.struct("playlists"), {"pretty": "true"}).alias("value"))
+        .select(F.to_json(F.struct("playlists"), {"pretty": "true"}).alias("value"))
     )
     path = fresh_path(spark, "slices")
-    packed.write.partitionBy("slice", "part").text(path)
+    packed.write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 

@@ -52,9 +52,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return it as a table read back from there."""
+def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and return it as a table read back from there.
+
+    With ``by`` each value of that column has a folder, so a filter on it reads only its rows.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

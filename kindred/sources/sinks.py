@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.functions.text import encode_list, feature_line
+from kindred.functions.text import encode_list, feature_line, one_field
 from kindred.session import materialize
 
 
 def write_adjacency(playlists: DataFrame, path: str) -> None:
-    """``pid<TAB>id,id,...`` lines."""
-    ids = F.array_join("track_ids", ",")
-    _write_lines(playlists.select(F.concat_ws("\t", F.col("pid").cast("string"), ids).alias("value")), path)
+    """``pid<TAB>part<TAB>id,id,...`` lines; ``playlists`` has ``(pid, part, track_ids)``.
+
+    A list of several parts is several lines, and their numbers keep its order.
+    """
+    numbers = [F.col(name).cast("string") for name in ("pid", "part")]
+    _write_lines(playlists.select(F.concat_ws("\t", *numbers, F.array_join("track_ids", ",")).alias("value")), path)
 
 
 def write_unique_songs(songs: DataFrame, path: str) -> None:
-    """``id<TAB>title<TAB>artist`` lines."""
-    _write_lines(songs.select(F.concat_ws("\t", "id", "title", "artist").alias("value")), path)
+    """``id<TAB>title<TAB>artist`` lines; tabs and line ends in a name become blanks, null is empty."""
+    pieces = [one_field(F.col(name)) for name in ("id", "title", "artist")]
+    _write_lines(songs.select(F.concat_ws("\t", *pieces).alias("value")), path)
 
 
 def write_enriched(enriched: DataFrame, path: str) -> None:
@@ -31,8 +35,8 @@ def write_features(songs: DataFrame, path: str) -> None:
 
 
 def write_songs_with_playlists(songs: DataFrame, path: str) -> None:
-    """Feature lines with ``,[pid;pid]`` after them."""
-    line = F.concat(feature_line(), F.lit(","), encode_list(F.col("playlists")))
+    """Feature lines with ``,part,[pid;pid]`` after them; ``songs`` has ``part`` and ``playlists``."""
+    line = F.concat_ws(",", feature_line(), F.col("part").cast("string"), encode_list(F.col("playlists")))
     _write_lines(songs.select(line.alias("value")), path)
 
 

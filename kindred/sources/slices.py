@@ -49,7 +49,7 @@ def _last_per_pid(playlists: Column) -> Column:
             F.slice(keyed, F.lit(2), F.greatest(F.size(keyed) - 1, F.lit(0))),
             lambda here, after: F.struct(
                 here["i"].alias("i"),
-                (after.isNull() | (after["pid"] != here["pid"])).alias("is_last"),
+                (after.isNull() | ~after["pid"].eqNullSafe(here["pid"])).alias("is_last"),
             ),
         ),
         lambda entry: entry["is_last"],

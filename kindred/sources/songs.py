@@ -22,13 +22,23 @@ def parse_songs(lines: DataFrame) -> DataFrame:
 
 
 def parse_songs_with_playlists(lines: DataFrame) -> DataFrame:
-    """Lines of 17 pieces: a song and its bracketed playlists."""
-    pieces = lines.select(_pieces(len(_SONG_FIELDS) + 1))
-    playlists = decode_list(F.get("pieces", F.lit(len(_SONG_FIELDS))))
-    return pieces.select(*_song_columns(), playlists.alias("playlists"))
+    """Lines of a song, the part its list is, and its bracketed playlists.
 
-
-def read_songs(spark: SparkSession, path: str) -> DataFrame:
+    Lines of 17 pieces have no part and are part 0. A song whose list has several parts has a line for
+    each; those of part 0 are the songs.
+    """
+    pieces = lines.select(_pieces(len(_SONG_FIELDS) + 1, len(_SONG_FIELDS) + 2))
+    parted = F.size("pieces") > len(_SONG_FIELDS) + 1
+    part = F.when(parted, F.get("pieces", F.lit(len(_SONG_FIELDS))).cast("int")).otherwise(F.lit(0))
+    playlists = decode_list(F.get("pieces", F.size("pieces") - 1))
+    return pieces.select(*_song_columns(), part.alias("part"), playlists.alias("playlists"))
+
+
+def read_songs(spark: SparkSession, path: str, form: str = "text") -> DataFrame:
+    """Songs with their features, from feature lines or from Parquet with the same columns."""
+    if form == "parquet":
+        columns = [F.col(name) for name in SONG_TEXT_COLUMNS] + [F.col(name).cast("double") for name in FEATURES]
+        return spark.read.parquet(path).select(*columns)
     return parse_songs(spark.read.text(path))
 
 
@@ -36,10 +46,14 @@ def read_songs_with_playlists(spark: SparkSession, path: str) -> DataFrame:
     return parse_songs_with_playlists(spark.read.text(path))
 
 
-def _pieces(expected: int) -> Column:
-    pieces = fields(F.col("value"))
-    message = F.concat(F.lit(f"expected {expected} fields: "), F.col("value"))
-    return F.when(F.size(pieces) == expected, pieces).otherwise(F.raise_error(message)).alias("pieces")
+def _pieces(*expected: int) -> Column:
+    return _counted(fields(F.col("value")), *expected).alias("pieces")
+
+
+def _counted(pieces: Column, *expected: int) -> Column:
+    """Pieces of a line, whose number must be one of those expected."""
+    message = F.concat(F.lit(f"expected {' or '.join(map(str, expected))} fields: "), F.col("value"))
+    return F.when(F.size(pieces).isin(*expected), pieces).otherwise(F.raise_error(message))
 
 
 def _song_columns() -> list[Column]:
@@ -57,21 +71,24 @@ def _number(position: int) -> Column:
 
 
 def read_adjacency(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``pid<TAB>id,id,...`` as ``(pid, track_ids)``; a line without ids is an empty list."""
-    parts = F.split("value", "\t")
-    ids = F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
-    return spark.read.text(path).select(
-        F.get(parts, F.lit(0)).cast("long").alias("pid"),
+    """Lines ``pid<TAB>part<TAB>id,id,...`` as ``(pid, part, track_ids)``.
+
+    Lines without a part are part 0; a line without ids is an empty list.
+    """
+    lines = spark.read.text(path).select(_counted(F.split("value", "\t"), 2, 3).alias("pieces"))
+    ids = F.get("pieces", F.size("pieces") - 1)
+    part = F.when(F.size("pieces") == 3, F.get("pieces", F.lit(1)).cast("int")).otherwise(F.lit(0))
+    return lines.select(
+        F.get("pieces", F.lit(0)).cast("long").alias("pid"),
+        part.alias("part"),
         F.when(ids == "", F.array().cast("array<string>")).otherwise(F.split(ids, ",")).alias("track_ids"),
     )
 
 
 def read_unique_songs(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``id<TAB>title<TAB>artist``."""
-    parts = F.split("value", "\t")
-    return spark.read.text(path).select(
-        *[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(SONG_TEXT_COLUMNS)]
-    )
+    lines = spark.read.text(path).select(_counted(F.split("value", "\t"), 3).alias("pieces"))
+    return lines.select(*[F.get("pieces", F.lit(i)).alias(name) for i, name in enumerate(SONG_TEXT_COLUMNS)])
 
 
 def split_tagged(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from kindred.operators import ordering, prepare
 
@@ -54,6 +55,39 @@ def test_enriching_splits_songs_and_copies_do_not_multiply(spark):
     assert rows(prepare.failures(found)) == rows(prepare.missing(songs, features)) == [("2", "b", "B")]
 
 
+def test_null_features_are_no_features(spark):
+    songs = spark.createDataFrame([(i, "t", "a") for i in "1234"], "id string, title string, artist string")
+    rows_ = [("1", None, None), ("2", 1.0, None), ("3", None, None), ("3", 1.0, 2.0), ("3", None, 0.0), ("4", 5.0, 6.0)]
+    found = prepare.enrich(songs, spark.createDataFrame(rows_, "id string, key double, tempo double"), ["key", "tempo"])
+    assert rows(prepare.successes(found), "id", "key", "tempo") == [("3", 1.0, 2.0), ("4", 5.0, 6.0)]
+    assert rows(prepare.failures(found), "id") == [("1",), ("2",)]
+
+
+def test_parts_of_one_key_are_built_in_several_tasks(spark):
+    tracks = spark.range(4_000).select(
+        F.lit(7).cast("long").alias("pid"), F.col("id").cast("int").alias("pos"), F.col("id").cast("string").alias("id")
+    )
+    kept = {name: spark.conf.get(name) for name in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = prepare.playlist_adjacency(tracks, max_items=100).withColumn("task", F.spark_partition_id())
+        built = found.select("part", "task", F.size("track_ids").alias("n")).collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert len(built) == 40 and {row["n"] for row in built} == {100}
+    assert len({row["task"] for row in built}) > 1
+
+
+def test_lists_of_no_key(spark):
+    table = spark.createDataFrame([(None, i, str(i)) for i in range(5)] + [(1, 0, "x")], TRACKS)
+    assert rows(prepare.playlist_adjacency(table, max_items=2), "pid", "part", "track_ids") == [
+        (1, 0, ["x"]), (None, 0, ["0", "1"]), (None, 1, ["2", "3"]), (None, 2, ["4"]),
+    ]
+
+
 @pytest.mark.parametrize("size", [2, 1000])
 @pytest.mark.parametrize("how", ["left", "full"])
 def test_playlists_go_to_their_songs(spark, how, size):

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from kindred.functions import text
-from kindred.operators.prepare import unique_songs
+from kindred.operators.prepare import playlist_adjacency, unique_songs
 from kindred.schema import FEATURES
 from kindred.sources import results, sinks, slices, songs
 
@@ -85,17 +85,61 @@ def test_song_lines_round_trip(spark, tmp_path):
     found = songs.read_songs(spark, str(tmp_path / "s"))
     sinks.write_features(found, str(tmp_path / "out"))
     assert rows(songs.read_songs(spark, str(tmp_path / "out"))) == rows(found)
-    with_lists = found.withColumn("playlists", F.array(F.lit(3), F.lit(9)))
+    with_lists = found.withColumns({"part": F.lit(2), "playlists": F.array(F.lit(3), F.lit(3_000_000_000))})
     sinks.write_songs_with_playlists(with_lists, str(tmp_path / "lists"))
     assert rows(songs.read_songs_with_playlists(spark, str(tmp_path / "lists"))) == rows(with_lists)
 
 
 def test_adjacency_lines_round_trip_with_an_empty_playlist(spark, tmp_path):
-    lists = spark.createDataFrame([(0, ["a", "b", "a"]), (1, [])], "pid long, track_ids array<string>")
+    lists = spark.createDataFrame(
+        [(0, 0, ["a", "b", "a"]), (0, 1, ["c"]), (1, 0, [])], "pid long, part int, track_ids array<string>"
+    )
     sinks.write_adjacency(lists, str(tmp_path / "out"))
     assert rows(songs.read_adjacency(spark, str(tmp_path / "out"))) == rows(lists)
 
 
+def test_adjacency_lines_without_a_part(spark, tmp_path):
+    (tmp_path / "s").write_text("7\ta,b\n8\t\n")
+    assert rows(songs.read_adjacency(spark, str(tmp_path))) == [(7, 0, ["a", "b"]), (8, 0, [])]
+    (tmp_path / "s").write_text("7\t0\ta\tb\n")
+    with pytest.raises(Exception, match="expected 2 or 3 fields"):
+        songs.read_adjacency(spark, str(tmp_path)).collect()
+
+
+def test_parts_of_lists_keep_their_order_as_text(spark, tmp_path):
+    tracks = spark.createDataFrame([(1, i, f"s{9 - i}") for i in range(7)], "pid long, pos int, id string")
+    sinks.write_adjacency(playlist_adjacency(tracks, max_items=3), str(tmp_path / "out"))
+    found = songs.read_adjacency(spark, str(tmp_path / "out")).orderBy("pid", "part").collect()
+    assert [song for row in found for song in row["track_ids"]] == [f"s{9 - i}" for i in range(7)]
+
+
+def test_names_cannot_corrupt_song_lines(spark, tmp_path):
+    names = [("1", None, "A"), ("2", "a\tb", "c\nd"), ("3", 'say "x"', None)]
+    sinks.write_unique_songs(spark.createDataFrame(names, "id string, title string, artist string"), str(tmp_path / "out"))
+    assert rows(songs.read_unique_songs(spark, str(tmp_path / "out"))) == [
+        ("1", "", "A"), ("2", "a b", "c d"), ("3", 'say "x"', ""),
+    ]
+    (tmp_path / "bad").write_text("1\ttitle\n")
+    with pytest.raises(Exception, match="expected 3 fields"):
+        songs.read_unique_songs(spark, str(tmp_path / "bad")).collect()
+
+
+def test_a_song_without_a_feature_is_not_written(spark, tmp_path):
+    (tmp_path / "s").write_text(f"{A}\tOne,Ann,{NUMBERS}\n")
+    found = songs.read_songs(spark, str(tmp_path / "s"))
+    with pytest.raises(Exception, match="no tempo"):
+        sinks.write_features(found.withColumn("tempo", F.lit(None).cast("double")), str(tmp_path / "out"))
+    sinks.write_features(found.withColumn("title", F.lit(None).cast("string")), str(tmp_path / "untitled"))
+    assert songs.read_songs(spark, str(tmp_path / "untitled")).first()["title"] == ""
+
+
+def test_a_playlist_without_a_number_is_kept(spark, tmp_path):
+    lists = [{"tracks": [track(A, "x", "y")]}, {"pid": 1, "tracks": []}, {"tracks": [track(B, "x", "y")]}]
+    (tmp_path / "a.json").write_text(json.dumps({"playlists": lists}))
+    found = slices.playlists_of(slices.read_slices(spark, str(tmp_path)))
+    assert sorted((str(row["pid"]), row["track_ids"]) for row in found.collect()) == [("1", []), ("None", [B])]
+
+
 def test_sinks_replace_what_was_there(spark, tmp_path):
     for title in ("old", "new"):
         table = spark.createDataFrame([("1", title, "x")], "id string, title string, artist string")

@@ -141,6 +141,19 @@ def test_sweep_from_files_to_files(spark, catalog, feature_file):
     assert clusters == sorted(clusters)
 
 
+def test_programs_run_on_what_the_ones_before_wrote(spark, catalog, capsys):
+    for form, source in (("text", "features"), ("parquet", "enriched/status=success")):
+        out, errors = str(catalog / f"chain-{form}"), str(catalog / f"chain-errors-{form}")
+        main(["sweep", str(catalog / "out" / source), out, errors, "2,3", "0.0", "4", "7", "kmeans", "--form", form])
+        main(["elbow", errors])
+        song = spark.read.parquet(f"{out}/assignments").first()["id"]
+        capsys.readouterr()
+        main(["radio", f"{out}/assignments", song])
+        assert song not in capsys.readouterr().out
+    same = [rows(spark.read.parquet(str(catalog / f"chain-{form}" / "assignments")), "run_id", "id", "cluster") for form in ("text", "parquet")]
+    assert same[0] == same[1] and same[0]
+
+
 @pytest.mark.parametrize("named", [True, False])
 def test_grid_from_files_to_files(spark, catalog, feature_file, named):
     setups = spark.createDataFrame([(0, 2, 1, 3, 0.0), (1, 3, 1, 3, 0.0)], "run_id int, k int, seed int, max_iters int, epsilon double")
