@@ -178,7 +178,7 @@ def medoids_task(model):
 
 def relative_gap(distance: np.ndarray, spread: np.ndarray) -> np.ndarray:
     unit = np.where(spread > 0, spread, 1.0)
-    return np.round(distance / unit, 9)
+    return np.rint(distance / unit * 1e9)
 
 
 def _least_per_cluster(clusters: np.ndarray, gap: np.ndarray, ids: pd.Series) -> np.ndarray:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions.kernels import assign_task, distinct, matrix, nearer_task
+from kindred.operators.ordering import with_start
 from kindred.session import materialize
 
 # Most bytes of centers to broadcast at once. A Python worker holds about three times as much.
@@ -33,9 +34,7 @@ def nearest_centers(
     ``write`` a single pass is written too, for a result that will be read many times.
     """
     spark = points.sparkSession
-    size = centers.agg(
-        F.count(F.lit(1)).alias("n"), F.max("cluster").alias("last"), F.max(F.size("center")).alias("dims")
-    ).first()
+    size = centers.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("center")).alias("dims")).first()
     if not size["n"]:
         raise ValueError("there are no centers")
     per_block = max(1, model_bytes // (8 * size["dims"]))
@@ -45,15 +44,16 @@ def nearest_centers(
     best = points.select(
         *kept, "features", F.lit(-1).alias("cluster"), F.lit(float("inf")).alias("distance")
     )
-    for first in range(0, size["last"] + 1, per_block):
-        in_block = F.col("cluster").between(first, first + per_block - 1)
-        rows = centers.filter(in_block).select("cluster", "center").orderBy("cluster").toArrow()
-        if not rows.num_rows:
-            continue
+    # Blocks are of centers in cluster order, whatever their numbers.
+    centers = centers.select("cluster", "center")
+    placed = with_start(centers, ["cluster"], "_place") if size["n"] > per_block else centers.withColumn("_place", F.lit(0))
+    for first in range(0, size["n"], per_block):
+        in_block = F.col("_place").between(first, first + per_block - 1)
+        rows = placed.filter(in_block).select("cluster", "center").orderBy("cluster").toArrow()
         labels, places = rows["cluster"].to_numpy().astype(np.int32), matrix(rows["center"].combine_chunks())
         first_of_equals = distinct(places)
         block = spark.sparkContext.broadcast((labels[first_of_equals], places[first_of_equals]))
         best = best.mapInArrow(nearer_task(block, len(kept)), schema)
-        if write or size["last"] >= per_block:
+        if write or size["n"] > per_block:
             best = materialize(best, "nearest")
     return best

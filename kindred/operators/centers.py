@@ -18,6 +18,8 @@ from kindred.functions.vectors import squared_distance
 from kindred.schema import NAME_NOT_FOUND, NAME_SYNTHETIC
 from kindred.session import materialize
 
+# Places that the rows of one cluster or one vector are dealt to in a join.
+SALTS = 16
 _DRAW_RANGE = 16**32  # an MD5 digest has 32 hexadecimal places
 
 
@@ -98,26 +100,45 @@ def cluster_means(assigned: DataFrame, dims: int) -> DataFrame:
     )
 
 
-def cluster_medoids(assigned: DataFrame, means: DataFrame) -> DataFrame:
-    """Member of each cluster with the least total squared distance to the others.
+def cluster_medoids(assigned: DataFrame, means: DataFrame, before: DataFrame) -> DataFrame:
+    """Member of each cluster with the least total squared distance to the others: ``(run_id, cluster, n, id, center)``.
 
     The total is ``n |x - mean|^2`` plus what does not depend on ``x``, so the member nearest to
-    the mean is the one: two aggregates instead of all pairs. Distances count in units of the
-    cluster's mean squared error to nine places, so ties up to rounding go to the lowest id.
+    the mean is the one: one aggregate instead of all pairs. Distances count in units of the
+    cluster's mean squared error to nine places, so ties up to rounding go to the lowest id; that error
+    follows from ``means`` and the centers ``before``, which decided. A cluster's members are dealt to
+    ``SALTS`` places, and the best of those is taken.
     """
-    gaps = assigned.join(means.select("run_id", "cluster", F.col("center").alias("mean")), ["run_id", "cluster"])
-    gaps = gaps.select("run_id", "cluster", "id", "features", squared_distance(F.col("features"), F.col("mean")).alias("d"))
-    spreads = gaps.groupBy("run_id", "cluster").agg(F.avg("d").alias("spread"))
-    unit = F.when(F.col("spread") > 0, F.col("spread")).otherwise(F.lit(1.0))
+    was = before.select("run_id", "cluster", F.col("center").alias("was"))
+    about = F.greatest(F.col("sse") - F.col("n") * squared_distance(F.col("center"), F.col("was")), F.lit(0.0))
+    spread = about / F.col("n")
+    targets = means.join(was, ["run_id", "cluster"]).select(
+        "run_id", "cluster", "n", F.col("center").alias("mean"), F.when(spread > 0, spread).otherwise(F.lit(1.0)).alias("unit")
+    )
+    keys = ["run_id", "cluster", "_salt"]
+    gap = F.rint(squared_distance(F.col("features"), F.col("mean")) / F.col("unit") * 1e9)
+    best = lambda places: F.min_by(F.struct("id", "features", "n", "gap"), F.struct("gap", "id")).alias(places)
     return (
-        gaps.join(spreads, ["run_id", "cluster"])
-        .withColumn("gap", F.round(F.col("d") / unit, 9))
+        _salted(assigned, "id")
+        .join(_for_each_salt(targets), keys)
+        .withColumn("gap", gap)
+        .groupBy(*keys)
+        .agg(best("one"))
+        .select("run_id", "cluster", "one.*")
         .groupBy("run_id", "cluster")
-        .agg(F.min_by(F.struct("id", "features"), F.struct("gap", "id")).alias("best"))
-        .select("run_id", "cluster", F.col("best.id").alias("id"), F.col("best.features").alias("center"))
+        .agg(best("best"))
+        .select("run_id", "cluster", "best.n", "best.id", F.col("best.features").alias("center"))
     )
 
 
+def _salted(rows: DataFrame, key: str) -> DataFrame:
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+
+
+def _for_each_salt(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def lost_clusters(before: DataFrame, after: DataFrame) -> DataFrame:
     """Clusters of ``before`` that got no points and so are not in ``after``."""
     return before.join(after, ["run_id", "cluster"], "left_anti").select("run_id", "cluster")
@@ -157,6 +178,7 @@ def error_after_move(before: DataFrame, means: DataFrame, after: DataFrame) -> D
 
 
 def cluster_sizes(assignments: DataFrame) -> DataFrame:
+    """Points in each cluster. A clustering's ``centers`` have the same as ``n``, without a pass."""
     return assignments.groupBy("run_id", "cluster").agg(F.count(F.lit(1)).alias("size"))
 
 
@@ -170,11 +192,15 @@ def name_centers(centers: DataFrame, points: DataFrame | None) -> DataFrame:
     if points is None:
         return centers.withColumns({"title": F.lit(NAME_SYNTHETIC), "artist": F.lit(NAME_SYNTHETIC)})
     sought = centers.select(F.col("center").alias("features")).distinct()
+    first = F.min_by(F.struct("title", "artist", "id"), F.col("id"))
     found = (
-        points.select("id", "title", "artist", "features")
-        .join(sought, "features")
+        _salted(points.select("id", "title", "artist", "features"), "id")
+        .join(_for_each_salt(sought), ["features", "_salt"])
+        .groupBy("features", "_salt")
+        .agg(first.alias("one"))
+        .select("features", "one.*")
         .groupBy("features")
-        .agg(F.min_by(F.struct("title", "artist"), F.col("id")).alias("song"))
+        .agg(first.alias("song"))
     )
     named = centers.join(found, centers["center"] == found["features"], "left")
     return named.select(

@@ -39,11 +39,11 @@ _WORK_PER_TASK = 100_000_000
 
 _HISTORY = "run_id int, iter int, clusters long, delta double, wsos double"
 _RUNS = "run_id int, k int, seed int, max_iters int, epsilon double, iters int, delta double, wsos double"
-_CENTERS = "run_id int, cluster int, center array<double>"
+_CENTERS = "run_id int, cluster int, n long, center array<double>"
 
 
 class Clustering(NamedTuple):
-    """Results by ``run_id``: one row per run, center, point and iteration."""
+    """Results by ``run_id``: one row per run, center (with ``n``, its points), point and iteration."""
 
     runs: DataFrame
     centers: DataFrame
@@ -58,6 +58,7 @@ class _State:
         self.setup = setup
         self.labels = self.labels_before = labels
         self.centers = self.before = centers
+        self.rows = np.zeros(len(labels), dtype=np.int64)
         self.log: list[tuple] = []
 
     def open(self) -> tuple[np.ndarray, np.ndarray]:
@@ -65,11 +66,11 @@ class _State:
         first_of_equals = distinct(self.centers)
         return self.labels[first_of_equals], self.centers[first_of_equals]
 
-    def step(self, labels: np.ndarray, centers: np.ndarray, error: float) -> None:
+    def step(self, labels: np.ndarray, centers: np.ndarray, rows: np.ndarray, error: float) -> None:
         kept = np.isin(self.labels, labels)
         delta = float(squared_gaps(self.centers[kept], centers).sum()) if kept.all() else float("inf")
         self.labels_before, self.before = self.labels, self.centers
-        self.labels, self.centers = labels, centers
+        self.labels, self.centers, self.rows = labels, centers, rows
         self.log.append((self.setup["run_id"], len(self.log) + 1, len(labels), delta, error))
 
     @property
@@ -194,7 +195,8 @@ def _in_memory(
     deciding = spark.sparkContext.broadcast(
         [(state.setup["run_id"], *state.last_move()) for state in states]
     )
-    assignments = assign_points(points, deciding)
+    # Written once, so that no use of them repeats the distances.
+    assignments = materialize(assign_points(points, deciding), "assignments")
     return Clustering(runs, _centers_table(spark, states), assignments, history)
 
 
@@ -230,7 +232,7 @@ def _iterate(working: DataFrame, live: list[_State], dims: int, algorithm: str)
         if algorithm == "kmedoids":
             centers = medoids[run_id]["center"]
             error = error + rows * squared_gaps(centers, means[run_id])
-        state.step(found[run_id]["cluster"], centers, float(error.sum() / rows.sum()))
+        state.step(found[run_id]["cluster"], centers, rows, float(error.sum() / rows.sum()))
 
 
 def _medoids(working: DataFrame, live: list[_State], found: dict, means: dict, errors: dict) -> dict:
@@ -276,6 +278,7 @@ def _centers_table(spark: SparkSession, states: list[_State]) -> DataFrame:
         {
             "run_id": np.concatenate([np.full(len(s.labels), s.setup["run_id"], dtype=np.int32) for s in states]),
             "cluster": np.concatenate([s.labels for s in states]),
+            "n": np.concatenate([s.rows for s in states]),
             "center": pa.FixedSizeListArray.from_arrays(
                 np.concatenate([s.centers.ravel() for s in states]), states[0].centers.shape[1]
             ).cast(pa.list_(pa.float64())),
@@ -297,8 +300,8 @@ def _in_tables(
     while not log or (log[-1][3] > setup["epsilon"] and len(log) < setup["max_iters"]):
         assigned = nearest_centers(working, centers, model_bytes, write=True).select("*", run_id)
         means = materialize(cluster_means(assigned, dims), "centers")
-        moved = means if algorithm == "kmeans" else materialize(cluster_medoids(assigned, means), "centers")
-        moved = moved.select("run_id", "cluster", "center")
+        moved = means if algorithm == "kmeans" else materialize(cluster_medoids(assigned, means, centers), "centers")
+        moved = moved.select("run_id", "cluster", "n", "center")
         delta = center_shift(centers, moved).first()["delta"]
         error = error_after_move(centers, means, moved).first()["wsos"]
         log.append((setup["run_id"], len(log) + 1, moved.count(), delta, error))
@@ -312,4 +315,4 @@ def _in_tables(
     )
     kept = [name for name in points.columns if name != "features"]
     assignments = points.select(*kept).join(placed, "id").select(*kept, "run_id", "cluster", "distance")
-    return Clustering(runs, centers, assignments, spark.createDataFrame(log, _HISTORY))
+    return Clustering(runs, centers, materialize(assignments, "assignments"), spark.createDataFrame(log, _HISTORY))

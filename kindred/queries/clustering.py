@@ -13,7 +13,8 @@ from kindred.plans.choose_k import best_k, elbow
 from kindred.plans.clustering import Clustering, cluster, setups, sweep_k
 from kindred.queries import tables
 from kindred.queries.tables import LINE_FEATURES, embedding_points, line_points, long_form, read, song_points
-from kindred.session import materialize
+from kindred.session import fresh_path, materialize
+from kindred.sources import sinks
 
 # (k, seed, max_iters, epsilon)
 EMBEDDING_RUN = (5, 7, 3, 0.0)
@@ -118,6 +119,50 @@ def kmedoids_delta(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("iter", "clusters", _rounded("delta"), _rounded("wsos"))
 
 
+def _in_tables(points: DataFrame, run: tuple, algorithm: str = "kmeans") -> Clustering:
+    """The same with centers kept in tables, met in blocks of two."""
+    room = 2 * 8 * len(points.first()["features"])
+    return cluster(points, setups(points.sparkSession, [run]), algorithm, model_bytes=room)
+
+
+def kmeans_assign_tables(spark: SparkSession, folder: str) -> DataFrame:
+    found = _in_tables(line_points(spark, folder), LINE_RUN).assignments
+    return found.select("id", "cluster", _rounded("distance"))
+
+
+def kmeans_delta_tables(spark: SparkSession, folder: str) -> DataFrame:
+    found = _in_tables(line_points(spark, folder), LINE_RUN).history
+    return found.select("iter", "clusters", _rounded("delta"), _rounded("wsos"))
+
+
+def kmedoids_assign_tables(spark: SparkSession, folder: str) -> DataFrame:
+    found = _in_tables(song_points(spark, folder), SONG_RUN, "kmedoids").assignments
+    return found.select("id", "cluster", _rounded("distance"))
+
+
+def _written_grid(spark: SparkSession, folder: str) -> str:
+    """A grid written over an older clustering."""
+    path, points = fresh_path(spark, "clustering"), song_points(spark, folder)
+    sinks.write_clustering(_one(points, GRID[1]), path)
+    sinks.write_clustering(cluster(points, setups(spark, GRID)), path)
+    return path
+
+
+def written_assignments(spark: SparkSession, folder: str) -> DataFrame:
+    found = spark.read.parquet(f"{_written_grid(spark, folder)}/assignments")
+    return found.select("k", "run_id", "id", "cluster")
+
+
+def written_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = spark.read.parquet(f"{_written_grid(spark, folder)}/runs")
+    return found.select("run_id", "k", "seed", "iters", _rounded("wsos"))
+
+
+def written_centers(spark: SparkSession, folder: str) -> DataFrame:
+    found = spark.read.parquet(f"{_written_grid(spark, folder)}/centers")
+    return long_form(found, ["run_id", "cluster", "n"], "center")
+
+
 def _assigned_once(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Songs at their nearest first centers, and those centers, as tables of one run."""
     points = song_points(spark, folder).select("id", "features")
@@ -131,8 +176,8 @@ def cluster_means(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cluster_medoids(spark: SparkSession, folder: str) -> DataFrame:
-    assigned, _ = _assigned_once(spark, folder)
-    return centers.cluster_medoids(assigned, centers.cluster_means(assigned, 13)).select("cluster", "id")
+    assigned, first = _assigned_once(spark, folder)
+    return centers.cluster_medoids(assigned, centers.cluster_means(assigned, 13), first).select("cluster", "id")
 
 
 def mean_error(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,7 +188,7 @@ def mean_error(spark: SparkSession, folder: str) -> DataFrame:
 def error_after_move(spark: SparkSession, folder: str) -> DataFrame:
     assigned, first = _assigned_once(spark, folder)
     means = centers.cluster_means(assigned, 13)
-    medoids = centers.cluster_medoids(assigned, means)
+    medoids = centers.cluster_medoids(assigned, means, first)
     return centers.error_after_move(first, means, medoids).select(_rounded("wsos"))
 
 
@@ -191,6 +236,11 @@ def grid_assignments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cluster_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """From the clustering itself, which has counted them, without a pass."""
+    return _one(line_points(spark, folder), LINE_RUN).centers.select("cluster", F.col("n").alias("size"))
+
+
+def cluster_sizes_of_assignments(spark: SparkSession, folder: str) -> DataFrame:
     found = centers.cluster_sizes(_one(line_points(spark, folder), LINE_RUN).assignments)
     return found.select("cluster", "size")
 
@@ -238,6 +288,8 @@ QUERIES = {
         nearest_center, nearest_center_blocks, kmeans_centers, kmeans_embeddings_assign, kmeans_assign, kmeans_delta,
         kmedoids_centers, kmedoids_assign, kmedoids_delta, cluster_means, cluster_medoids, mean_error, error_after_move, center_shift,
         lost_clusters, wsos_by_k, elbow_table, elbow_k, grid_runs, grid_medoid_runs, grid_assignments, cluster_sizes,
+        cluster_sizes_of_assignments, kmeans_assign_tables, kmeans_delta_tables, kmedoids_assign_tables,
+        written_assignments, written_runs, written_centers,
         sorted_assignments, center_names, radio, cluster_playlists, clusters_by_name,
     )
 }

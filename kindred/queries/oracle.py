@@ -348,6 +348,17 @@ SELECT k, round(wsos, 4) AS wsos, round(second_diff, 4) AS second_diff, round(ch
 SELECT run_id, id, title, artist, CAST(cluster AS INTEGER) AS cluster FROM assigned JOIN featured USING (id)""",
     "cluster_sizes": LINE_CLUSTERS + """
 SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS size FROM assigned GROUP BY cluster""",
+    "cluster_sizes_of_assignments": LINE_CLUSTERS + """
+SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS size FROM assigned GROUP BY cluster""",
+    "kmeans_assign_tables": LINE_CLUSTERS + _placed(),
+    "kmeans_delta_tables": LINE_CLUSTERS + _HISTORY,
+    "kmedoids_assign_tables": SONG_MEDOIDS + _placed(),
+    "written_assignments": _clustering(SONG_POINTS, GRID) + """
+SELECT k, run_id, id, CAST(cluster AS INTEGER) AS cluster FROM assigned JOIN setups USING (run_id)""",
+    "written_runs": _clustering(SONG_POINTS, GRID) + _RUNS,
+    "written_centers": _clustering(SONG_POINTS, GRID) + """
+SELECT run_id, CAST(cluster AS INTEGER) AS cluster, n, CAST(dim AS INTEGER) AS dim, round(val, 6) + 0.0 AS val
+FROM centers JOIN (SELECT run_id, cluster, count(*) AS n FROM assigned GROUP BY run_id, cluster) USING (run_id, cluster)""",
     "sorted_assignments": EMBEDDING_CLUSTERS + """
 SELECT CAST(cluster AS INTEGER) AS cluster, id FROM assigned ORDER BY cluster, id""",
     "radio": EMBEDDING_CLUSTERS + """

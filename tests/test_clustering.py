@@ -182,7 +182,7 @@ def test_table_operators(spark):
     apart = first.unionByName(spark.createDataFrame([(0, 9, [1e6] * 3)], first.schema))
     assert rows(centers.lost_clusters(apart, means)) == [(0, 9)]
     assert centers.center_shift(apart, means).first()["delta"] == float("inf")
-    medoids = {row["cluster"]: row["id"] for row in centers.cluster_medoids(assigned, means).collect()}
+    medoids = {row["cluster"]: row["id"] for row in centers.cluster_medoids(assigned, means, first).collect()}
     x = np.array(RANDOM)
     for k in places:
         members = np.flatnonzero(labels == k)
