@@ -3,7 +3,7 @@
 Writing. Pages with equal payloads of at least ``revisit_bytes`` are one ``response`` (that of the largest
 page id) and ``revisit`` records that refer to it. A response is an HTTP message in chunked transfer coding;
 one longer than ``segment_bytes`` is cut into a first record and ``continuation`` records that name it as
-their origin, carry their segment number and, in the last one, the total length. Archives are plain WARC
+their origin, carry their segment number and, in the last one, the total length. Archives are gzipped WARC
 files written by Spark's text writer into any folder Spark can write to: each row is a record, and the two
 line ends that close a record are the line separator. So a lost task's file is written anew as a whole.
 
@@ -21,6 +21,7 @@ repeated rows each have a record; an empty table gives an empty archive. Other c
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -205,7 +206,9 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
 
     # The cast only renames the type: the bytes of a record go to the file as they are.
     rows = ready.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-    rows.write.mode("overwrite").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    rows.write.mode("overwrite").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", FILE_RECORDS).option(
+        "compression", "gzip"
+    ).text(path)
 
 
 _PARSED = (
@@ -268,7 +271,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for files in batches:
             for content in files.column("content"):
                 rows, size = [], 0
-                for record in records(content.as_py()):
+                for record in records(gzip.decompress(content.as_py())):
                     if record.fields["warc-type"] in ("response", "revisit", "continuation"):
                         rows.append(_parsed(record))
                         size += len(record.block)
