@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kindred.llm import bpe, cnn, decontaminate, license_scan, lm, minhash, quality_rules, sharding, token_counts, warc
+from kindred.llm import bpe, cnn, decontaminate, license_scan, lm, minhash, oracle, quality_rules, sharding, token_counts, warc
 from kindred.session import fresh_path
 
 
@@ -88,4 +88,12 @@ QUERIES = {
         op10_quality_classifier,
     )
 }
-SQL: dict[str, str] = {}
+#: Where SQL has no words for an operator (patterns with suppression, models, BPE merges), tests compare it with
+#: brute force, the reference tokenizer or held-out accuracy.
+SQL: dict[str, str] = {
+    "op2_sharding": oracle.sharding(SHARDS),
+    "op3_quality_rules": oracle.QUALITY,
+    "op4_decontamination": oracle.DECONTAMINATION,
+    "op5_warc": oracle.WARC,
+    "op7_minhash": oracle.MINHASH,
+}
