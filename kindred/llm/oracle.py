@@ -60,7 +60,7 @@ m AS (
   FROM d JOIN lines USING (r) LEFT JOIN covered USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_symbols > n_words OR word_chars > 40 * n_words
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words OR word_chars > 40 * n_words
     OR 10 * word_chars < 15 * n_words OR 100 * n_dup_lines > 60 * n_lines OR n_shouts > n_words) AS kept
 FROM m"""
 

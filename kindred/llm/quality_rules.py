@@ -100,7 +100,7 @@ def measures(text: Column, words_of: Column | None = None) -> dict[str, Column]:
 RULES = [
     Rule("few words", lambda m: m["n_words"] < 50),
     Rule("repeated words", lambda m: 100 * m["n_repeat_words"] > 50 * m["n_words"]),
-    Rule("symbols", lambda m: m["n_symbols"] > m["n_words"]),
+    Rule("symbols", lambda m: 10 * m["n_symbols"] > 3 * m["n_words"]),
     Rule("long words", lambda m: m["word_chars"] > 40 * m["n_words"]),
     Rule("single letters", lambda m: 10 * m["word_chars"] < 15 * m["n_words"]),
     Rule("repeated lines", lambda m: 100 * m["n_dup_lines"] > 60 * m["n_lines"]),
