@@ -7,7 +7,8 @@ text are never next to those of another. A second folder names the text of each
 
 A search takes from every window of an item its rarest terms (by the counts in the index), subtracts each term's
 place in the item from its places in the texts, and keeps the alignments on which all rare terms of some window
-meet. Only there are the other terms looked up. Runs of terms that all meet are exact occurrences.
+meet. The few texts that have one are read again to compare the other words; runs of words that all agree are exact
+occurrences. Which texts these are is a table of ``BUCKETS`` rows at most, so the others are left out in the scan.
 
 Search tables are small beside the index, and are written before they are joined, so that Spark knows their size
 and joins them without moving the index if they are small enough for that.
@@ -19,11 +20,12 @@ give empty results. Other columns are not read.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -33,39 +35,47 @@ from kindred.session import fresh_path, materialize
 
 WINDOW = 10
 #: How many of a window's terms have to meet before its other terms are looked up.
-RARE_TERMS = 3
+RARE_TERMS = 2
 #: Bytes of text of a segment.
 SEGMENT_BYTES = 4_000_000
 _TEXT = 2**32
+#: Hash values of texts to read again; the table of those that are wanted is broadcast.
+BUCKETS = 2**20
 
 
 class Index(NamedTuple):
-    """``terms``: ``(segment, term, n, places)``; ``texts``: ``(segment, number, key, n_words)``."""
+    """``terms``: ``(segment, term, n, places)``; ``texts``: ``(segment, number, key, digest, n_words)``."""
 
     terms: DataFrame
     texts: DataFrame
 
 
-def build_index(docs: DataFrame, key: str, text: str = "text") -> Index:
+def _digests(block: pa.RecordBatch) -> pa.Array:
+    return pa.array([hashlib.md5((t or "").encode()).digest() for t in block.column("_text").to_pylist()], pa.binary())
+
+
+def build_index(docs: DataFrame, key: str, text: str = "text", segment_bytes: int = SEGMENT_BYTES) -> Index:
     """Index the words of every text; ``key`` names a text."""
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "postings")
     schema = StructType(
-        StructType.fromDDL("kind string, segment string, term binary, n bigint, places array<bigint>, number int").fields
+        StructType.fromDDL("kind string, segment bigint, term binary, n bigint, places array<bigint>, number int").fields
         + [docs.schema[key]]
-        + StructType.fromDDL("n_words bigint").fields
+        + StructType.fromDDL("digest binary, n_words bigint").fields
     )
 
     def segments(batches):
-        for block in blocks(batches, "_text", SEGMENT_BYTES):
+        task = TaskContext.get().partitionId()
+        for count, block in enumerate(blocks(batches, "_text", segment_bytes)):
             words = words_of(block.column("_text"), LETTERS)
-            segment = uuid.uuid4().hex
+            # One number for each block of each task, the same if the task runs again.
+            segment = task * 2**32 + count
             rows, keys = block.num_rows, block.column(key)
             none = lambda kind, n: pa.nulls(n, kind)
             sizes = np.diff(words.first)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(["texts"] * rows), pa.array([segment] * rows), none(pa.binary(), rows), none(pa.int64(), rows),
-                 none(longs, rows), pa.array(np.arange(rows, dtype=np.int32)), keys, pa.array(sizes, pa.int64())],
+                [pa.array(["texts"] * rows), pa.array(np.full(rows, segment)), none(pa.binary(), rows), none(pa.int64(), rows),
+                 none(longs, rows), pa.array(np.arange(rows, dtype=np.int32)), keys, _digests(block), pa.array(sizes, pa.int64())],
                 names=schema.names,
             )
             coded = words.values.dictionary_encode()
@@ -83,9 +93,9 @@ def build_index(docs: DataFrame, key: str, text: str = "text") -> Index:
                     pa.array((offsets[at : part.stop + 1] - offsets[at]).astype(np.int32)), pa.array(own, pa.int64())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(["terms"] * size), pa.array([segment] * size), coded.dictionary.slice(at, size),
+                    [pa.array(["terms"] * size), pa.array(np.full(size, segment)), coded.dictionary.slice(at, size),
                      pa.array(counts[part], pa.int64()), lists, none(pa.int32(), size), none(keys.type, size),
-                     none(pa.int64(), size)],
+                     none(pa.binary(), size), none(pa.int64(), size)],
                     names=schema.names,
                 )
 
@@ -100,7 +110,7 @@ def open_index(spark: SparkSession, path: str, schema: StructType, key: str) ->
         rows = spark.read.schema(schema).parquet(path).filter(F.col("kind") == kind)
         return rows.select("segment", *names)
 
-    return Index(folder("terms", "term", "n", "places"), folder("texts", "number", F.col(key).alias("key"), "n_words"))
+    return Index(folder("terms", "term", "n", "places"), folder("texts", "number", F.col(key).alias("key"), "digest", "n_words"))
 
 
 def words(text: Column) -> Column:
@@ -110,13 +120,13 @@ def words(text: Column) -> Column:
 
 
 def search_terms(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """``(item, offset, term)`` of every word of every distinct item text.
+    """``(item_id, item, words)`` of the items with words: ``item`` numbers their distinct word lists.
 
-    ``item`` is a digest of the words: items of equal words are searched for once.
+    Items of equal words are searched for once.
     """
     listed = items.select(F.col(item_id).alias("item_id"), words(items[text]).alias("words")).filter(F.size("words") > 0)
-    named = listed.withColumn("item", F.sha2(F.array_join("words", " "), 256))
-    return materialize(named.select("item_id", "item", "words"), "items")
+    numbered = listed.select("words").distinct().withColumn("item", F.monotonically_increasing_id())
+    return materialize(listed.join(materialize(numbered, "item-numbers"), "words"), "items")
 
 
 def _flat(items: DataFrame) -> DataFrame:
@@ -148,50 +158,92 @@ def _windows(terms: DataFrame, counts: DataFrame, window: int, rare: int) -> Dat
     )
 
 
+def _mark(offset: Column) -> Column:
+    """One bit for an offset; offsets far apart may share one."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), (offset % 63).cast("int"))
+
+
 def term_counts(index: Index, terms: DataFrame) -> DataFrame:
     """How often each of the terms occurs in the texts, summed before any shuffle."""
     wanted = materialize(terms.select("term").distinct(), "wanted-terms")
     return index.terms.join(wanted, "term").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def phrase_matches(index: Index, items: DataFrame, window: int = WINDOW, rare: int = RARE_TERMS) -> DataFrame:
-    """Exact occurrences: ``(segment, item, place, length)``, runs of item words that hold a window.
-
-    ``place`` is where the run begins. An item of fewer words than a window has to occur as a whole.
-    ``items`` come from :func:`search_terms`.
-    """
+def alignments(index: Index, items: DataFrame, window: int = WINDOW, rare: int = RARE_TERMS) -> DataFrame:
+    """``(segment, number, item, shift, size)``: where an item's word 0 would stand in a text, if all rare
+    terms of one of its windows meet there. ``items`` come from :func:`search_terms`."""
     terms = materialize(_flat(items), "item-terms")
     counts = materialize(term_counts(index, terms), "term-counts")
     windows = materialize(_windows(terms, counts, window, rare), "windows")
     rare_offsets = windows.select("item", F.explode(F.array_distinct(F.flatten("windows"))).alias("offset"))
     rare_terms = materialize(terms.join(rare_offsets, ["item", "offset"]), "rare-terms")
-    # Offset-adjusted lists of the rare terms meet on alignments: where the item would begin.
-    aligned = index.terms.join(rare_terms, "term").select(
-        "segment", "item", "offset", F.explode(F.transform("places", lambda place: place - F.col("offset"))).alias("begin")
+    # Offset-adjusted lists of the rare terms meet where the item would begin.
+    places = index.terms.join(rare_terms, "term").select("segment", "item", "offset", F.explode("places").alias("place"))
+    shift = F.col("place").bitwiseAND(_TEXT - 1) - F.col("offset")
+    met = places.groupBy(
+        "segment", "item", F.shiftright("place", 32).cast("int").alias("number"), shift.cast("int").alias("shift")
+    ).agg(F.bit_or(_mark(F.col("offset"))).alias("marks"))
+    # Shared bits may let a wrong alignment through, which the words themselves then decide.
+    joint = lambda part: F.aggregate(part, F.lit(0).cast("bigint"), lambda so_far, o: so_far.bitwiseOR(_mark(o)))
+    masks = windows.select("item", "size", F.array_distinct(F.transform("windows", joint)).alias("masks"))
+    all_there = F.exists("masks", lambda mask: mask.bitwiseAND(F.col("marks")) == mask)
+    found = met.join(materialize(masks, "window-masks"), "item").filter(all_there)
+    return materialize(found.select("segment", "number", "item", "shift", "size"), "alignments")
+
+
+def _texts_again(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
+    """``(key, digest, words)`` of the wanted ``(key, digest)``, each once."""
+    bucket = lambda column: F.pmod(F.xxhash64(column), F.lit(BUCKETS))
+    buckets = materialize(wanted.select(bucket("key").alias("_bucket")).distinct(), "buckets")
+    body = F.coalesce(docs[text], F.lit(""))
+    # At most BUCKETS numbers.
+    near = docs.select(docs[key].alias("_key"), body.alias("_text"), bucket(docs[key]).alias("_bucket")).join(
+        F.broadcast(buckets), "_bucket", "left_semi"
     )
-    met = aligned.groupBy("segment", "item", "begin").agg(F.collect_set("offset").alias("offsets")).join(windows, "item")
-    all_there = F.exists("windows", lambda w: F.size(F.array_except(w, "offsets")) == 0)
-    candidates = materialize(met.filter(all_there).select("segment", "item", "begin", "size"), "alignments")
-    # Now all terms, but only in segments and at places that a candidate needs.
-    needed = candidates.join(terms, "item").select(
-        "segment", "term", "item", "begin", "size", "offset", (F.col("begin") + F.col("offset")).alias("place")
+    near = near.select("_key", F.unhex(F.md5("_text")).alias("_digest"), "_text")
+    same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("digest") == F.col("_digest"))
+    once = near.join(wanted, same).groupBy("key", "digest").agg(F.first("_text").alias("_text"))
+    return once.select("key", "digest", words(F.col("_text")).alias("words"))
+
+
+def phrase_matches(index: Index, docs: DataFrame, key: str, text: str, items: DataFrame, window: int = WINDOW,
+                   rare: int = RARE_TERMS) -> DataFrame:
+    """Exact occurrences: ``(segment, number, item, word, length)``, runs of item words that hold a window.
+
+    ``word`` is where the run begins in the text. An item of fewer words than a window has to occur as a whole.
+    """
+    found = alignments(index, items, window, rare)
+    named = found.join(index.texts.select("segment", "number", "key", "digest"), ["segment", "number"])
+    named = materialize(named, "named-alignments")
+    texts = _texts_again(docs, key, text, named.select("key", "digest").distinct())
+    per_text = named.groupBy("key", "digest").agg(
+        F.collect_list(F.struct("segment", "number", "item", "shift", "size")).alias("alignments")
     )
-    lists = needed.groupBy("segment", "term").agg(F.collect_set("place").alias("needed"))
-    lists = materialize(lists, "needed-places")
-    found = (
-        index.terms.join(lists, ["segment", "term"])
-        .select("segment", "term", F.explode(F.array_intersect("needed", "places")).alias("place"))
+    same = per_text["key"].eqNullSafe(texts["key"]) & (per_text["digest"] == texts["digest"])
+    # Only the words of an alignment go on, not the text once for each.
+    cut = per_text.join(texts, same).select(
+        F.explode(F.transform("alignments", lambda a: F.struct(
+            a.alias("at"), F.slice("words", F.greatest(a["shift"], F.lit(0)) + 1, a["size"] + F.least(a["shift"], F.lit(0))).alias("there"),
+        ))).alias("cut")
+    ).select("cut.at.*", "cut.there")
+    wanted = materialize(items.groupBy("item").agg(F.first("words").alias("words")), "item-words")
+    skipped = F.greatest(-F.col("shift"), F.lit(0))
+    equal = F.filter(
+        F.sequence(F.lit(0), F.size("there") - 1),
+        lambda i: F.get("there", i) == F.get("words", i + skipped),
     )
-    hits = needed.join(found, ["segment", "term", "place"]).groupBy("segment", "item", "begin", "size").agg(
-        F.sort_array(F.collect_list("offset")).alias("offsets")
+    offsets = F.when(F.size("there") > 0, equal).otherwise(F.array().cast("array<int>"))
+    hits = cut.join(wanted, "item").select(
+        "segment", "number", "item", "shift", "size", skipped.alias("skipped"), F.posexplode(offsets).alias("rank", "i")
     )
-    # In a run of hit offsets, offset minus rank is one number.
-    ranked = hits.select("segment", "item", "begin", "size", F.posexplode("offsets").alias("rank", "offset"))
-    runs = ranked.groupBy("segment", "item", "begin", "size", (F.col("offset") - F.col("rank")).alias("run")).agg(
-        F.min("offset").alias("first"), F.count(F.lit(1)).alias("length")
+    # In a run of equal words, place minus rank is one number.
+    runs = hits.groupBy("segment", "number", "item", "shift", "size", "skipped", (F.col("i") - F.col("rank")).alias("run")).agg(
+        F.min("i").alias("first"), F.count(F.lit(1)).alias("length")
     )
     long_enough = runs.filter(F.col("length") >= F.least(F.col("size"), F.lit(window)))
-    return long_enough.select("segment", "item", (F.col("begin") + F.col("first")).alias("place"), "length")
+    return long_enough.select(
+        "segment", "number", "item", (F.col("shift") + F.col("skipped") + F.col("first")).cast("bigint").alias("word"), "length"
+    )
 
 
 def proximity_matches(index: Index, items: DataFrame, within: int) -> DataFrame:
@@ -219,16 +271,14 @@ def proximity_matches(index: Index, items: DataFrame, within: int) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW) -> DataFrame:
+                  item_text: str = "text", window: int = WINDOW, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``.
 
     ``n_hit`` counts words inside any occurrence of a window, ``n_items`` the item ids with one.
     """
-    index = build_index(docs, doc_id, text)
+    index = build_index(docs, doc_id, text, segment_bytes)
     searched = search_terms(items, item_id, item_text)
-    matches = materialize(phrase_matches(index, searched, window), "matches")
-    number = F.shiftright("place", 32).cast("int")
-    placed = matches.select("segment", number.alias("number"), "item", F.col("place").bitwiseAND(_TEXT - 1).alias("word"), "length")
+    placed = materialize(phrase_matches(index, docs, doc_id, text, searched, window), "matches")
     hit_words = placed.select(
         "segment", "number", F.explode(F.sequence(F.col("word"), F.col("word") + F.col("length") - 1)).alias("word")
     )

@@ -162,7 +162,8 @@ def brute_hits(text, items, window=10):
     return len(words), len(hit), len(found), digest, bool(hit)
 
 
-def test_hits_are_those_of_brute_force(spark, documents, odd, table):
+@pytest.mark.parametrize("segment_bytes", [decontaminate.SEGMENT_BYTES, 20_000])
+def test_hits_are_those_of_brute_force(spark, documents, odd, table, segment_bytes):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     item = items[0][1]
     items += [(900, "two words"), (901, item), (902, None), (903, ""), (904, "the the the the the the the the the the the"), (904, "other words")]
@@ -173,7 +174,7 @@ def test_hits_are_those_of_brute_force(spark, documents, odd, table):
     docs = documents.select("doc_id", "text").unionByName(table(extra).select("doc_id", "text")).unionByName(
         odd.select((odd.doc_id + 7_000).alias("doc_id"), "text"))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = Counter(tuple(r) for r in decontaminate.contamination(docs, bench).collect())
+    found = Counter(tuple(r) for r in decontaminate.contamination(docs, bench, segment_bytes=segment_bytes).collect())
     assert found == Counter((r.doc_id, *brute_hits(r.text, items)) for r in docs.collect())
     assert any(r[-1] for r in found)
 
