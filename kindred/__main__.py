@@ -7,7 +7,7 @@ import argparse
 from kindred.functions.text import parse_integers
 from kindred.plans import jobs
 from kindred.schema import ALGORITHMS
-from kindred.session import build_session
+from kindred.session import build_session, scratch
 
 FORMS = ("text", "parquet")
 
@@ -50,6 +50,11 @@ def main(arguments: list[str] | None = None) -> None:
 
     given = parser.parse_args(arguments)
     spark = build_session()
+    with scratch(spark):
+        run(spark, given)
+
+
+def run(spark, given: argparse.Namespace) -> None:
     if given.program == "create":
         jobs.create_data(spark, given.slices, given.features, given.output)
     elif given.program == "sweep":

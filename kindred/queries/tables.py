@@ -91,6 +91,18 @@ def line_points(spark: SparkSession, folder: str, scale: bool = True) -> DataFra
     return scaled_features(lines, LINE_FEATURES, ["id"])
 
 
+def wide_line_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with thirteen features: the four numbers of a line, their products in pairs, and three keys."""
+    quantity = F.col("l_quantity").cast("int")
+    identity = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quantity).alias("id")
+    pairs = [F.col(a) * F.col(b) for i, a in enumerate(LINE_FEATURES) for b in LINE_FEATURES[i + 1 :]]
+    keys = [F.col(name).cast("double") for name in ("l_linenumber", "l_partkey", "l_suppkey")]
+    numbers = [*map(F.col, LINE_FEATURES), *pairs, *keys]
+    names = [f"f{i}" for i in range(len(numbers))]
+    lines = read(spark, folder, "lineitem").select(identity, *[n.alias(name) for n, name in zip(numbers, names)])
+    return scaled_features(lines, names, ["id"])
+
+
 def embedding_points(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings").withColumnRenamed("vec_id", "id")
     return scaled_vectors(vectors, "embedding", ["id", "label"])

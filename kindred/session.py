@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +49,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# For every open scratch, the paths given out since.
+_SCRATCHES: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _SCRATCHES:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written for steps inside are removed at the end: read or write what is wanted before."""
+    paths: list[str] = []
+    _SCRATCHES.append(paths)
+    try:
+        yield
+    finally:
+        _SCRATCHES.remove(paths)
+        hadoop, configuration = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+        for path in map(hadoop.Path, paths):
+            path.getFileSystem(configuration).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from kindred.operators.centers import name_centers
 from kindred.plans import jobs
 from kindred.plans.choose_k import best_k, elbow
 from kindred.schema import FEATURES
-from kindred.session import fresh_path, materialize, shared_folder
+from kindred.session import fresh_path, materialize, scratch, shared_folder
 from kindred.sources import results, sinks, songs
 
 
@@ -74,6 +74,17 @@ def test_written_tables_are_worked_out_once(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
 
 
+def test_what_steps_wrote_is_removed_at_the_end(spark):
+    kept = materialize(spark.range(3), "kept")
+    with scratch(spark):
+        inner = materialize(spark.range(4), "gone")
+        assert inner.count() == 4
+        files = inner.inputFiles()
+    assert kept.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(files[0]).count()
+
+
 @pytest.fixture(scope="module")
 def catalog(spark, tmp_path_factory):
     """Playlist slices, a feature table with one song missing, and the song tables made of them."""
