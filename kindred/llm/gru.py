@@ -116,16 +116,22 @@ class Cells:
         into_u = np.empty((steps, lanes, 3 * h), np.float32)
         into_x = np.empty((steps, lanes, 3 * h), np.float32)
         back, turned = np.zeros((lanes, h), np.float32), np.ascontiguousarray(weights["u"].T)
+        # What does not depend on the steps after is worked out for all steps at once.
+        z, r = self.gates[:, :, :h], self.gates[:, :, h:]
+        shut = 1 - z
+        of_z = (self.before - self.new) * z * shut
+        of_new = shut * (1 - self.new * self.new)
+        of_r = self.inner * r * (1 - r)
         for t in reversed(range(steps)):
             grad = from_output[t] + back
-            z, r = self.gates[t, :, :h], self.gates[t, :, h:]
-            new, before = self.new[t], self.before[t]
-            d_new = grad * (1 - z) * (1 - new * new)
-            d_z = grad * (before - new) * z * (1 - z)
-            d_r = d_new * self.inner[t] * r * (1 - r)
-            into_x[t, :, :h], into_x[t, :, h : 2 * h], into_x[t, :, 2 * h :] = d_z, d_r, d_new
-            into_u[t, :, : 2 * h], into_u[t, :, 2 * h :] = into_x[t, :, : 2 * h], d_new * r
-            back = (grad * z + into_u[t] @ turned) * self.goes_on[t]
+            d_new = grad * of_new[t]
+            x_t, u_t = into_x[t], into_u[t]
+            np.multiply(grad, of_z[t], out=x_t[:, :h])
+            np.multiply(d_new, of_r[t], out=x_t[:, h : 2 * h])
+            x_t[:, 2 * h :] = d_new
+            u_t[:, : 2 * h] = x_t[:, : 2 * h]
+            np.multiply(d_new, r[t], out=u_t[:, 2 * h :])
+            back = (grad * z[t] + u_t @ turned) * self.goes_on[t]
         flat = into_u.reshape(-1, 3 * h)
         d_x = np.zeros_like(weights["x"])
         order = np.argsort(self.inputs.ravel(), kind="stable")
@@ -134,9 +140,17 @@ class Cells:
         return {"x": d_x, "u": self.before.reshape(-1, h).T @ flat}
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The logarithm of each row's sum of exponentials, and the probabilities."""
+    most = logits.max() if logits.size else np.float32(0)
+    powers = np.exp(logits - most)
+    sums = powers @ np.ones(logits.shape[1], np.float32)
+    if sums.size and sums.min() < 1e-30:  # rows far below the greatest value: each by its own
+        most = logits.max(axis=1, keepdims=True)
+        powers = np.exp(logits - most)
+        sums = powers.sum(axis=1)
+        most = most[:, 0]
+    return np.log(sums) + most, powers / sums[:, None]
 
 
 def output(weights: Weights, states: np.ndarray, targets: np.ndarray, learn: bool) -> tuple[np.ndarray, Weights]:
@@ -148,11 +162,11 @@ def output(weights: Weights, states: np.ndarray, targets: np.ndarray, learn: boo
     known, wanted = states[there], targets[there]
     classes = wanted // CLASS_SIZE
     rows = np.arange(len(there))
-    logs = _log_softmax(known @ weights["wc"] + weights["bc"])
-    found = logs[rows, classes]
+    logits = known @ weights["wc"] + weights["bc"]
+    total, d_class = _softmax(logits)
+    found = logits[rows, classes] - total
     grads: Weights = {}
     if learn:
-        d_class = np.exp(logs)
         d_class[rows, classes] -= 1
         d_known = d_class @ weights["wc"].T
         grads = {"wc": known.T @ d_class, "bc": d_class.sum(axis=0),
@@ -164,13 +178,14 @@ def output(weights: Weights, states: np.ndarray, targets: np.ndarray, learn: boo
         if not len(own):
             continue
         word, here = wanted[own] % CLASS_SIZE, np.arange(len(own))
-        logs = _log_softmax(known[own] @ weights["wo"][c] + weights["bo"][c])
-        found[own] += logs[here, word]
+        mine = known[own]
+        logits = mine @ weights["wo"][c] + weights["bo"][c]
+        total, d_word = _softmax(logits)
+        found[own] += logits[here, word] - total
         if learn:
-            d_word = np.exp(logs)
             d_word[here, word] -= 1
             d_known[own] += d_word @ weights["wo"][c].T
-            grads["wo"][c], grads["bo"][c] = known[own].T @ d_word, d_word.sum(axis=0)
+            grads["wo"][c], grads["bo"][c] = mine.T @ d_word, d_word.sum(axis=0)
     log_probability = np.zeros(len(targets), np.float32)
     log_probability[there] = found
     if learn:

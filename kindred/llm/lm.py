@@ -22,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,7 +93,7 @@ class Head:
     """Frequent words on an executor: numbers of the model's tokens and counts, by word."""
 
     def __init__(self, head: list[tuple[bytes, int]], ends: int):
-        self.place = {word: i for i, (word, _) in enumerate(head)}
+        self.words = pa.array([word for word, _ in head], pa.binary())
         # One more for the words that are not there, which the model has in the tail.
         self.counts = np.array([n for _, n in head] + [0], dtype=np.int64)
         tokens = np.full(len(head) + 1, gru.TAIL, dtype=np.int32)
@@ -101,11 +102,8 @@ class Head:
         self.tokens, self.ends = tokens, ends
 
     def places(self, words: pa.Array) -> np.ndarray:
-        """The place of each word in the list, or its length; each distinct word is looked up once."""
-        coded = words.dictionary_encode()
-        missing = len(self.place)
-        found = [self.place.get(word, missing) for word in coded.dictionary.to_pylist()]
-        return np.array(found, dtype=np.int64)[coded.indices.to_numpy()] if found else np.zeros(0, np.int64)
+        """The place of each word in the list, or the list's length."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), len(self.words)).to_numpy(zero_copy_only=False)
 
 
 _HEAD: dict[str, Head] = {}
@@ -143,7 +141,7 @@ def lanes(batches, head: Head):
         for part in blocks([block], "_text"):
             words = words_of(part.column("_text"), NOT_SPACE)
             own = head.places(words.values)
-            missing = np.flatnonzero(own == len(head.place))
+            missing = np.flatnonzero(own == len(head.words))
             rare.append(words.values.take(pa.array(missing)))
             owners.append(words.owner()[missing] + done)
             places.append(np.insert(own, words.first[1:], -1))
@@ -249,7 +247,7 @@ def _scored(docs: DataFrame, doc_id: str, text: str, counts: Counts, head: Share
             keys = pa.array([f"{prefix}-{i}" for i in range(rows)])
             is_end, starts = block.places < 0, block.first[:-1]
             logs = np.where(is_end, math.log10(ends + 1), log_counts[block.places])
-            known = np.where(is_end, ends > 0, block.places < len(words.place))
+            known = np.where(is_end, ends > 0, block.places < len(words.words))
             in_tail = block.tokens == gru.TAIL
             add = lambda values: np.add.reduceat(values, starts)
             # Of a word in the tail the model needs its count as well; those in the head are known here.
