@@ -4,13 +4,17 @@
    are one class from here on, however many there are.
 2. The minima, five at a time, give the bands; classes that agree in a band share a bucket. A pair at the
    threshold (0.85) misses all 25 bands once in two million times.
-3. Only the low four bits of each minimum are kept, packed into eight longs. Inside a bucket the similarity of
-   two classes is estimated from the bits that agree, corrected for chance agreement. Pairs far below the
-   threshold (by more than six standard errors) go out. A bucket gives at most one edge per member: a spanning
-   forest of what is left. A bucket larger than ``BUCKET_ROWS`` is compared block by block in several tasks.
-4. The components of those edges are the neighbourhoods. Within each, exact intersections of full sets
+3. Only the low four bits of each minimum are kept, packed into eight longs. The similarity of two classes is
+   estimated from the bits that agree, corrected for chance agreement. Pairs far below the threshold (by more
+   than six standard errors) go out.
+4. Stars first: every class meets the first classes of its buckets, and the one it is most similar to by estimate is
+   compared exactly. In a group of close copies that connects all of them, with work in proportion to their number.
+5. In a bucket that is one component by then nothing is left to do. In others, members outside the component of the
+   first one are compared with all members by estimate. A bucket gives at most one edge per member: a spanning
+   forest of what is left. Large buckets are compared block by block (``BUCKET_ROWS``) in several tasks.
+6. The components of those edges are the neighbourhoods. Within each, exact intersections of full sets
    are counted from inverted lists, block by block if it is large, and again only a spanning forest of the true
-   links comes out. Its components are the result.
+   links comes out. With the links of the stars, its components are the result.
 
 So no pair list of a group is ever written, no partner is capped, and what is decided rests on full sets.
 
@@ -40,6 +44,7 @@ HASHES = 128
 BITS = 4
 #: Of one bucket and of one neighbourhood, what a task compares at a time: classes, and shingles.
 BUCKET_ROWS = 4_096
+STAR_ROWS = 500
 BLOCK_SHINGLES = 1_000_000
 
 _draw = np.random.default_rng(20240229)
@@ -204,15 +209,86 @@ def _blocked(rows: DataFrame, keys: list[str], blocks: str) -> DataFrame:
     )
 
 
-def candidate_edges(classes: DataFrame, threshold: float, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Edges ``(a, b)`` whose components hold every pair of classes that may be linked."""
-    floor = threshold - slack(threshold)
+def buckets(classes: DataFrame) -> DataFrame:
+    """``(band, value, class, first)`` of buckets with several members; ``first`` is their least class."""
     members = classes.select("class", F.posexplode("bands").alias("band", "value"))
-    sizes = members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    sizes = sizes.select("band", "value", F.ceil(F.col("members") / bucket_rows).alias("blocks"))
-    # Signatures join what is left of the members, which are many more before.
-    shared = members.join(sizes, ["band", "value"]).join(classes.select("class", *_SIGNATURE), "class")
-    ready = _blocked(shared, ["band", "value"], "blocks").select("band", "value", "i", "j", "class", *_SIGNATURE)
+    shared = members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members"), F.min("class").alias("first"))
+    shared = shared.filter("members > 1").drop("members")
+    return materialize(members.join(shared, ["band", "value"]).select("band", "value", "class", "first"), "buckets")
+
+
+def star_links(members: DataFrame, classes: DataFrame, sets_of, threshold: float) -> DataFrame:
+    """True links ``(a, b)`` of classes with the most similar of the first classes of their buckets.
+
+    ``sets_of`` gives ``(class, shingles)`` of the classes ``(class)`` of a table.
+    """
+    other = classes.select(F.col("class").alias("first"), *[F.col(s).alias(f"o{s}") for s in _SIGNATURE])
+    pairs = members.filter("class <> first").select("class", "first").distinct()
+    signed = pairs.join(classes.select("class", *_SIGNATURE), "class").join(other, "first")
+    agree = sum(_agreeing(F.col(s).bitwiseXOR(F.col(f"o{s}"))) for s in _SIGNATURE)
+    least = (threshold - slack(threshold)) * (1 - 2.0**-BITS) + 2.0**-BITS
+    best = signed.withColumn("agree", agree).filter(F.col("agree") >= least * HASHES).groupBy("class").agg(
+        F.max_by("first", F.struct("agree", "first")).alias("first")
+    )
+    best = materialize(best, "stars")
+    # The set of a first class goes once to every place that its members are dealt to.
+    places = best.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).alias("places"))
+    sets = materialize(sets_of(best.select(F.explode(F.array("class", "first")).alias("class")).distinct()), "star-sets")
+    mine = best.join(places, "first").withColumn("place", F.pmod(F.xxhash64("class"), F.col("places"))).join(sets, "class")
+    theirs = places.withColumn("place", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("places") - 1))).join(
+        sets.select(F.col("class").alias("first"), F.col("shingles").alias("other")), "first"
+    )
+    joined = mine.select("class", "first", "place", "shingles").join(theirs.select("first", "place", "other"), ["first", "place"])
+    numerator = round(threshold * 100)
+
+    def confirm(batches):
+        for batch in batches:
+            kept = []
+            for i, (one, other) in enumerate(zip(batch.column("shingles"), batch.column("other"))):
+                one, other = (np.frombuffer(s.as_buffer(), np.uint64) for s in (one, other))
+                common = len(np.intersect1d(one, other, assume_unique=True))
+                if 100 * common >= numerator * (len(one) + len(other) - common):
+                    kept.append(i)
+            yield batch.select(["class", "first"]).take(pa.array(kept, pa.int64())).rename_columns(["a", "b"])
+
+    return joined.select("class", "first", "shingles", "other").mapInArrow(confirm, "a binary, b binary")
+
+
+def _agreeing(differ):
+    """How many of the sixteen lanes of a difference are zero."""
+    either = differ.bitwiseOR(F.shiftrightunsigned(differ, 2))
+    either = either.bitwiseOR(F.shiftrightunsigned(either, 1))
+    return F.lit(64 // BITS) - F.bit_count(either.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def candidate_edges(members: DataFrame, classes: DataFrame, roots: DataFrame, threshold: float,
+                    bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Edges ``(a, b)`` whose components hold every pair of classes that may be linked and is not yet connected.
+
+    ``roots`` has the ``(class, root)`` of classes that are connected to others.
+    """
+    floor = threshold - slack(threshold)
+    firsts = roots.select(F.col("class").alias("first"), F.col("root").alias("_first_root"))
+    rooted = members.join(roots, "class", "left").join(firsts, "first", "left")
+    at_home = F.coalesce("root", "class") == F.coalesce("_first_root", "first")
+    rooted = rooted.select("band", "value", "class", at_home.alias("at_home"))
+    count = lambda home, name: F.ceil(F.count_if(home) / bucket_rows).alias(name)
+    sizes = rooted.groupBy("band", "value").agg(count(F.col("at_home"), "home"), count(~F.col("at_home"), "away"))
+    # Blocks 0 to away - 1 are of members elsewhere, those after of the first one's component. Two of the latter never meet.
+    open_ = rooted.join(sizes.filter("away > 0"), ["band", "value"])
+    own = F.when(F.col("at_home"), F.col("away") + F.pmod(F.xxhash64("class"), F.greatest("home", F.lit(1)))).otherwise(
+        F.pmod(F.xxhash64("class"), F.col("away"))
+    )
+    meets = F.when(F.col("at_home"), F.col("away")).otherwise(F.col("away") + F.col("home"))
+    placed = open_.select(
+        "band", "value", "class", own.cast("int").alias("_own"), F.explode(F.sequence(F.lit(0), meets.cast("int") - 1)).alias("_other")
+    ).select("band", "value", "class", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
+    ready = (
+        placed.join(classes.select("class", *_SIGNATURE), "class")
+        .repartition("band", "value", "i", "j")
+        .sortWithinPartitions("band", "value", "i", "j")
+        .select("band", "value", "i", "j", "class", *_SIGNATURE)
+    )
 
     def compare(batches):
         for table, starts in _groups(batches, 4):
@@ -292,18 +368,18 @@ def _linked(sets: list[np.ndarray], numerator: int) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """``(root, class, shingles)`` of wanted classes ``(root, class, rep)``, from the text of row ``rep``."""
+    """``(class, shingles)`` of wanted classes ``(class, rep)``, from the text of row ``rep``."""
     texts = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_body"))
-    joined = wanted.join(texts, F.col("rep").eqNullSafe(F.col("_id"))).select("root", "class", "_body")
+    joined = wanted.join(texts, F.col("rep").eqNullSafe(F.col("_id"))).select("class", "_body")
 
     def work(block: pa.RecordBatch) -> list[pa.Array]:
         sets = shingle_sets(block.column("_text"), size)
         digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         return [pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(digests, pa.binary())]
 
-    found = map_blocks(joined, ["root", "class"], "_body", "shingles binary, _digest binary", work)
+    found = map_blocks(joined, ["class"], "_body", "shingles binary, _digest binary", work)
     # An id may be that of several rows; those with another set are not meant, and copies count once.
-    return found.filter("_digest = class").groupBy("root", "class").agg(F.first("shingles").alias("shingles"))
+    return found.filter("_digest = class").groupBy("class").agg(F.first("shingles").alias("shingles"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
@@ -318,11 +394,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     full = signed.filter("n_shingles > 0")
     same = F.first(F.struct("bands", *_SIGNATURE)).alias("same")
     classes = materialize(full.groupBy("class").agg(F.min("_id").alias("rep"), same).select("class", "rep", "same.*"), "classes")
-    neighbourhoods = components(candidate_edges(classes, threshold), "neighbourhoods")
-    wanted = neighbourhoods.select("root", F.col("node").alias("class")).join(classes.select("class", "rep"), "class")
-    sets = materialize(_sets_of(docs, wanted, doc_id, text, size), "shingle-sets")
-    roots = components(exact_links(sets, threshold), "links")
-    own = classes.select("class", "rep").join(roots.withColumnRenamed("node", "class"), "class", "left")
+    reps = classes.select("class", "rep")
+    sets_of = lambda wanted: _sets_of(docs, wanted.join(reps, "class"), doc_id, text, size)
+    members = buckets(classes)
+    stars = materialize(star_links(members, classes, sets_of, threshold), "star-links")
+    connected = components(stars, "stars").withColumnRenamed("node", "class")
+    edges = candidate_edges(members, classes, connected, threshold)
+    neighbourhoods = components(edges, "neighbourhoods").withColumnRenamed("node", "class")
+    sets = materialize(neighbourhoods.join(sets_of(neighbourhoods.select("class")), "class"), "shingle-sets")
+    roots = components(stars.unionByName(exact_links(sets, threshold)), "links").withColumnRenamed("node", "class")
+    own = reps.join(roots, "class", "left")
     own = own.select("class", "rep", F.coalesce("root", "class").alias("root"))
     least = own.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_class = own.join(least, "root").select("class", "component_id")

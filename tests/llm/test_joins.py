@@ -91,12 +91,13 @@ def test_blocks_of_large_groups(table, monkeypatch):
     signed = minhash.signatures(docs, ["doc_id"], "text", 3)
     classes = signed.groupBy("class").agg(minhash.F.min("doc_id").alias("rep"), minhash.F.first("bands").alias("bands"), *[
         minhash.F.first(s).alias(s) for s in minhash._SIGNATURE])
-    whole = components.components(minhash.candidate_edges(classes, 0.85))
-    cut = components.components(minhash.candidate_edges(classes, 0.85, bucket_rows=7))
+    members, none = minhash.buckets(classes), docs.sparkSession.createDataFrame([], "class binary, root binary")
+    whole = components.components(minhash.candidate_edges(members, classes, none, 0.85))
+    cut = components.components(minhash.candidate_edges(members, classes, none, 0.85, bucket_rows=7))
     same = lambda found: sorted(sorted(bytes(n) for n, r in found.rdd.map(tuple).collect() if r == root) for root in {r.root for r in found.collect()})
     assert same(whole) == same(cut)
     wanted = whole.select("root", minhash.F.col("node").alias("class")).join(classes.select("class", "rep"), "class")
-    sets = minhash._sets_of(docs, wanted, "doc_id", "text", 3)
+    sets = wanted.join(minhash._sets_of(docs, wanted.drop("root"), "doc_id", "text", 3), "class")
     assert same(components.components(minhash.exact_links(sets, 0.85))) == same(
         components.components(minhash.exact_links(sets, 0.85, block_shingles=300))
     )
@@ -304,6 +305,21 @@ def test_gradients_are_those_of_small_steps():
         assert math.isclose((up - loss(moved)[0]) / 2e-2, grads[name][at], rel_tol=0.05)
 
 
+def test_weights_are_averaged_by_tokens(spark):
+    size = sum(int(np.prod(shape)) for shape in gru.SHAPES.values())
+    rows = [(part, tokens, bytearray(np.full(size, value * tokens).tobytes())) for part, tokens, value in
+            [(0, 10, 1.0), (3, 30, 2.0), (4, 0, 9.0), (9, 60, 3.0)]]
+    found = lm._averaged(spark.createDataFrame(rows, lm._SUMS).repartition(3))
+    assert np.allclose(found["u"], 2.5) and found["x"].shape == gru.SHAPES["x"]
+    assert lm._averaged(spark.createDataFrame([], lm._SUMS)) is None
+
+
+def test_counts_of_words_over_blocks(spark, table, documents):
+    docs = documents.select("doc_id", "text").unionByName(table([(1, "a b a"), (2, None), (3, "B")]).select("doc_id", "text"))
+    want = Counter(word for r in docs.collect() for word in spaced(r.text))
+    assert {bytes(r.word): r.n for r in lm.count_words(docs, "text").collect()} == dict(want)
+
+
 def test_language_model_of_an_empty_table(odd):
     assert lm.score(odd.limit(0)).count() == 0
 
