@@ -14,6 +14,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import documents, odd, table  # noqa: F401
+
 import corpus_pipeline
 from kindred.llm import cnn, components, decontaminate, gru, lm, minhash, queries, warc
 

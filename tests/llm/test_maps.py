@@ -14,6 +14,8 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import documents, odd, table  # noqa: F401
+
 from kindred.llm import bpe, license_scan, quality_rules, queries, sharding, token_counts
 
 FOLDER = "/root/testdata/sf0.001"
