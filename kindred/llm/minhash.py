@@ -45,6 +45,8 @@ BITS = 4
 #: Of one bucket and of one neighbourhood, what a task compares at a time: classes, and shingles.
 BUCKET_ROWS = 4_096
 STAR_ROWS = 500
+#: Hash values of ids; the table of those that are wanted is broadcast.
+ID_BUCKETS = 2**20
 BLOCK_SHINGLES = 1_000_000
 
 _draw = np.random.default_rng(20240229)
@@ -368,8 +370,16 @@ def _linked(sets: list[np.ndarray], numerator: int) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """``(class, shingles)`` of wanted classes ``(class, rep)``, from the text of row ``rep``."""
-    texts = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_body"))
+    """``(class, shingles)`` of wanted classes ``(class, rep)``, from the text of row ``rep``.
+
+    Texts whose id has a hash value that no wanted one has are left out in the scan.
+    """
+    bucket = lambda column: F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS))
+    wanted = materialize(wanted, "wanted-classes")
+    near = materialize(wanted.select(bucket("rep").alias("_bucket")).distinct(), "id-buckets")
+    texts = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_body"), bucket(docs[doc_id]).alias("_bucket"))
+    # At most ID_BUCKETS numbers.
+    texts = texts.join(F.broadcast(near), "_bucket", "left_semi")
     joined = wanted.join(texts, F.col("rep").eqNullSafe(F.col("_id"))).select("class", "_body")
 
     def work(block: pa.RecordBatch) -> list[pa.Array]:
@@ -421,9 +431,12 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     Rows of one id that are copies of each other are one row. Rows without an id cannot be told
     apart; of those with one text one stays.
     """
-    found = near_duplicates(docs.filter(docs[doc_id].isNotNull()), doc_id, text, size, threshold).filter("kept")
-    ids = materialize(found.groupBy(F.col(doc_id).alias("_id")).agg(F.count(F.lit(1)).alias("_rows")), "kept-ids")
-    named = docs.join(ids.select("_id"), docs[doc_id] == F.col("_id")).drop("_id")
+    named = docs.filter(docs[doc_id].isNotNull())
+    found = near_duplicates(named, doc_id, text, size, threshold)
+    ids = materialize(found.groupBy(F.col(doc_id).alias("_id")).agg(F.count_if("kept").alias("_rows")), "ids")
+    # Those that go are fewer than those that stay.
+    gone = materialize(ids.filter("_rows = 0").select("_id"), "ids-that-go")
+    named = named.join(gone, docs[doc_id] == F.col("_id"), "left_anti")
     if not ids.filter("_rows > 1").isEmpty():
         named = named.dropDuplicates([doc_id, text])
     return named.unionByName(docs.filter(docs[doc_id].isNull()).dropDuplicates([text]))
