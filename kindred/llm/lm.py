@@ -38,6 +38,8 @@ HEAD_BYTES = 32
 WARM_TEXTS = 1_500
 WARM_TOKENS = 600_000
 WARM_RATE, RATE = 0.005, 0.002
+#: Words of blocks that a task adds up before it hands them on.
+TASK_WORDS = 800_000
 #: Bytes of text that run in step.
 LANE_BYTES = 12_000_000
 FOLDS, HELD_OUT = 7, 2
@@ -51,15 +53,27 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
     """``(word, n)`` over all texts; ends of texts are not words."""
 
     def run(batches):
+        pending: list[pa.Table] = []
         for block in blocks(batches, "_text"):
             coded = words_of(block.column("_text"), NOT_SPACE).values.dictionary_encode()
             counts = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
-            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(counts, pa.int64())], names=["word", "n"])
+            pending.append(pa.table({"word": coded.dictionary, "n": pa.array(counts, pa.int64())}))
+            if sum(table.num_rows for table in pending) >= TASK_WORDS:
+                yield from _summed(pending)
+                pending = []
+        if pending:
+            yield from _summed(pending)
 
     rows = texts.select(texts[text].alias("_text")).mapInArrow(run, "word binary, n bigint")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _summed(counts: list[pa.Table]) -> list[pa.RecordBatch]:
+    """Counts added up by word, before they leave the task."""
+    table = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return table.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches(max_chunksize=50_000)
+
+
 class Counts(NamedTuple):
     """``words`` of the training texts with their counts, and what is broadcast of them."""
 
@@ -200,19 +214,20 @@ def _averaged(learned: DataFrame) -> gru.Weights | None:
     """Weights averaged by tokens: summed in about the root of the number of tasks, then in one."""
 
     def add(batches):
-        tokens, total = 0, None
+        first, tokens, total = None, 0, None
         for batch in batches:
             for row in batch.to_pylist():
                 own = np.frombuffer(row["total"], np.float64)
+                first = row["part"] if first is None else first
                 tokens, total = tokens + row["tokens"], own if total is None else total + own
         if total is not None:
-            yield pa.RecordBatch.from_pydict({"part": [0], "tokens": [tokens], "total": [total.tobytes()]})
+            yield pa.RecordBatch.from_pydict({"part": [first], "tokens": [tokens], "total": [total.tobytes()]})
 
     written = materialize(learned, "weights")
     groups = math.isqrt(max(written.count(), 1)) + 1
     # The order of a sum is that of the tasks, so the average is the same on every run over the same tasks.
     some = written.repartition(groups, (F.col("part") % groups)).sortWithinPartitions("part").mapInArrow(add, _SUMS)
-    found = some.coalesce(1).mapInArrow(add, _SUMS).collect()
+    found = some.repartition(1).sortWithinPartitions("part").mapInArrow(add, _SUMS).collect()
     if not found:
         return None
     return gru.from_vector(np.frombuffer(found[0]["total"], np.float64) / found[0]["tokens"])
@@ -233,7 +248,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", head_word
 def _scored(docs: DataFrame, doc_id: str, text: str, counts: Counts, head: SharedHead, weights: gru.Weights) -> DataFrame:
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "lm-scores")
     shared = spark.sparkContext.broadcast(gru.to_bytes(weights))
-    fields = "kind string, row string, n_tokens bigint, n_known bigint, base double, model double, n_tail bigint, word binary, n bigint"
+    fields = "kind string, row bigint, n_tokens bigint, n_known bigint, base double, model double, n_tail bigint, word binary, n bigint"
     schema = StructType([docs.schema[doc_id], *StructType.fromDDL("held_out boolean").fields, *StructType.fromDDL(fields).fields])
     ends = counts.ends
 
@@ -242,9 +257,12 @@ def _scored(docs: DataFrame, doc_id: str, text: str, counts: Counts, head: Share
         weights = gru.from_vector(np.frombuffer(shared.value, np.float32))
         log_counts = np.log10(words.counts + 1.0)
         log_counts[-1] = 0.0
+        # Numbers of rows, the same if the task runs again.
+        done = TaskContext.get().partitionId() * 2**32
         for block in lanes(batches, words):
-            rows, prefix = block.rows.num_rows, uuid.uuid4().hex
-            keys = pa.array([f"{prefix}-{i}" for i in range(rows)])
+            rows = block.rows.num_rows
+            keys = pa.array(np.arange(done, done + rows))
+            done += rows
             is_end, starts = block.places < 0, block.first[:-1]
             logs = np.where(is_end, math.log10(ends + 1), log_counts[block.places])
             known = np.where(is_end, ends > 0, block.places < len(words.words))
