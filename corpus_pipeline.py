@@ -16,8 +16,17 @@ from kindred.session import materialize
 #: The pipeline has operators that SQL cannot express.
 ORACLE_SQL = None
 
+#: Rows of a batch that goes to a Python worker at most: with long texts this bounds what a worker and the buffers beside
+#: it hold. The setting of the session is put to it, as a stage is worked out after its function has returned.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return cnn.passing(docs, cnn.fit(docs, read(spark, sf_dir, "labels")))
 
 
@@ -26,15 +35,18 @@ def quality_rule_cascade(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash.deduplicated(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def byte_bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of them and of the bytes they decode to."""
+    small_batches(spark)
     keep = [name for name in docs.columns if name in ("doc_id", "lang", "source", "n_chars")]
     return bpe.encode(docs, keep, byte_bpe(spark), output="both")
 
