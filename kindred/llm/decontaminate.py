@@ -270,12 +270,9 @@ def proximity_matches(index: Index, items: DataFrame, within: int) -> DataFrame:
     return complete.filter("met = terms - 1").select("segment", "item", "at").unionByName(alone).withColumnRenamed("at", "place")
 
 
-def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """One row per row of ``docs``: ``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``.
-
-    ``n_hit`` counts words inside any occurrence of a window, ``n_items`` the item ids with one.
-    """
+def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, window: int,
+            segment_bytes: int) -> DataFrame:
+    """The rows of ``index.texts`` with ``n_hit`` and ``ids``, which are null where nothing occurs."""
     index = build_index(docs, doc_id, text, segment_bytes)
     searched = search_terms(items, item_id, item_text)
     placed = materialize(phrase_matches(index, docs, doc_id, text, searched, window), "matches")
@@ -287,8 +284,18 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     named = placed.select("segment", "number", "item").distinct().join(ids, "item")
     n_items = named.groupBy("segment", "number").agg(F.sort_array(F.collect_set("id")).alias("ids"))
     hits = n_hit.join(n_items, ["segment", "number"], "left")
+    return index.texts.join(hits, ["segment", "number"], "left")
+
+
+def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+                  item_text: str = "text", window: int = WINDOW, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
+    """One row per row of ``docs``: ``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``.
+
+    ``n_hit`` counts words inside any occurrence of a window, ``n_items`` the item ids with one.
+    """
+    judged = _judged(docs, items, doc_id, text, item_id, item_text, window, segment_bytes)
     ids = F.coalesce("ids", F.array().cast("array<string>"))
-    return index.texts.join(hits, ["segment", "number"], "left").select(
+    return judged.select(
         F.col("key").alias(doc_id), "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.size(ids).cast("bigint").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
@@ -296,8 +303,9 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 
 def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without an occurrence; all rows of an id go if one of them has one."""
-    hit = contamination(docs, items, doc_id, text).filter("contaminated").select(F.col(doc_id).alias("_hit")).distinct()
+    """The rows of ``docs`` without an occurrence; a row goes only for its own text, whatever rows share its id."""
+    hit = _judged(docs, items, doc_id, text, "item_id", "text", WINDOW, SEGMENT_BYTES).filter("n_hit > 0")
     # Written, so that Spark knows how few they are.
-    hit = materialize(hit, "contaminated-ids")
-    return docs.join(hit, docs[doc_id].eqNullSafe(F.col("_hit")), "left_anti")
+    hit = materialize(hit.select(F.col("key").alias("_hit"), F.col("digest").alias("_hit_digest")).distinct(), "contaminated-texts")
+    own = F.unhex(F.md5(F.coalesce(docs[text], F.lit(""))))
+    return docs.join(hit, docs[doc_id].eqNullSafe(F.col("_hit")) & (own == F.col("_hit_digest")), "left_anti")

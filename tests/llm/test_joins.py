@@ -187,6 +187,15 @@ def test_decontamination_of_empty_tables(spark, odd):
     assert decontaminate.contamination(odd.limit(0), none).count() == 0
 
 
+def test_a_row_goes_only_for_its_own_text(spark, table):
+    passage = " ".join(f"b{i}" for i in range(12))
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    stay = [(None, "clean and nameless"), (None, None), (None, ""), (7, "clean"), (8, "also clean"), (8, "also clean")]
+    go = [(None, passage), (None, "x " + passage), (7, passage + " y"), (9, passage), (9, passage)]
+    found = decontaminate.clean(table(stay + go), bench)
+    assert Counter((r.doc_id, r.text) for r in found.collect()) == Counter(stay)
+
+
 def test_proximity(spark, table):
     docs = table([(1, "alpha x x beta"), (2, "beta x x x x x alpha"), (3, "alpha"), (4, "Beta, alpha! gamma")])
     index = decontaminate.build_index(docs, "doc_id")
