@@ -296,7 +296,7 @@ def _linked(sets: list[np.ndarray], numerator: int) -> np.ndarray:
 def _sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """``(root, class, shingles)`` of wanted classes ``(root, class, rep)``, from the text of row ``rep``.
 
-    Texts whose id has a hash value that no wanted one has are left out in the scan.
+    ``doc_id`` should tell apart rows of different texts, or all rows of one id meet all its classes. Texts whose id has a hash value that no wanted one has are left out in the scan.
     """
     bucket = lambda column: F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS))
     wanted = materialize(wanted, "wanted-classes")
@@ -316,32 +316,47 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: i
     return found.filter("_digest = class").groupBy("root", "class").agg(F.first("shingles").alias("shingles"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
-                    threshold: float = 0.8) -> DataFrame:
-    """One row per row of ``docs``: ``(doc_id, n_shingles, component_id, kept)``.
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``(key, text)`` of every row: the id with a digest of the text, so rows of one id, or of none, are told apart.
 
-    Rows are linked where the similarity of their sets of ``size``-word shingles is at least ``threshold``;
-    ``component_id`` is the smallest id reachable and ``kept`` whether it is the row's own.
+    Keys without an id come last.
     """
-    signed = materialize(signatures(docs, [doc_id], text, size), "signatures")
-    signed = signed.withColumnRenamed(doc_id, "_id")
+    digest = F.unhex(F.md5(F.coalesce(docs[text], F.lit(""))))
+    key = F.struct(docs[doc_id].isNull().alias("nameless"), docs[doc_id].alias("id"), digest.alias("digest"))
+    return docs.select(key.alias("key"), docs[text].alias("text"))
+
+
+def _row_components(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float) -> DataFrame:
+    """``(key, n_shingles, least)`` for every row: ``least`` is the least key reachable, null if its set is empty."""
+    keyed = _keyed(docs, doc_id, text)
+    signed = materialize(signatures(keyed, ["key"], "text", size), "signatures")
     full = signed.filter("n_shingles > 0")
     same = F.first(F.struct("bands", *_SIGNATURE)).alias("same")
-    classes = materialize(full.groupBy("class").agg(F.min("_id").alias("rep"), same).select("class", "rep", "same.*"), "classes")
+    classes = materialize(full.groupBy("class").agg(F.min("key").alias("rep"), same).select("class", "rep", "same.*"), "classes")
     neighbourhoods = components(candidate_edges(classes, threshold), "neighbourhoods")
     wanted = neighbourhoods.select("root", F.col("node").alias("class")).join(classes.select("class", "rep"), "class")
-    sets = materialize(_sets_of(docs, wanted, doc_id, text, size), "shingle-sets")
+    sets = materialize(_sets_of(keyed, wanted, "key", "text", size), "shingle-sets")
     roots = components(exact_links(sets, threshold), "links")
     own = classes.select("class", "rep").join(roots.withColumnRenamed("node", "class"), "class", "left")
     own = own.select("class", "rep", F.coalesce("root", "class").alias("root"))
-    least = own.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_class = own.join(least, "root").select("class", "component_id")
-    joined = signed.select("_id", "n_shingles", "class").join(of_class, "class", "left")
-    component = F.when(F.col("class").isNull(), F.col("_id")).otherwise(F.col("component_id"))
-    return joined.select(
-        F.col("_id").alias(doc_id), "n_shingles", component.alias("component_id"),
-        component.eqNullSafe(F.col("_id")).alias("kept"),
-    )
+    least = own.groupBy("root").agg(F.min("rep").alias("least"))
+    of_class = own.join(least, "root").select("class", "least")
+    return signed.select("key", "n_shingles", "class").join(of_class, "class", "left").select("key", "n_shingles", "least")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
+                    threshold: float = 0.8) -> DataFrame:
+    """One row per row of ``docs``: ``(doc_id, n_shingles, component_id, kept)``.
+
+    Rows are linked where the similarity of their sets of ``size``-word shingles is at least ``threshold``;
+    ``component_id`` is the smallest id reachable and ``kept`` whether it is the row's own.
+    """
+    found = _row_components(docs, doc_id, text, size, threshold)
+    own = F.col("key.id")
+    component = F.when(F.col("least").isNull(), own).otherwise(F.col("least.id"))
+    return found.select(
+        own.alias(doc_id), "n_shingles", component.alias("component_id"), component.eqNullSafe(own).alias("kept")
+    )
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:

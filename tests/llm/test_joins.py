@@ -146,6 +146,21 @@ def test_one_of_each_group_stays(table):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
+def test_classes_meet_only_the_text_of_their_row(table, monkeypatch):
+    rows = [(i, text) for i, seed in ((None, 8), (1, 9)) for _, text in near_copies(seed, 10, 2, 60, 1)]
+    met, real = [], minhash.map_blocks
+
+    def counting(docs, keep, column, *more, **named):
+        if column == "_body":
+            met.append(docs.count())
+        return real(docs, keep, column, *more, **named)
+
+    monkeypatch.setattr(minhash, "map_blocks", counting)
+    found = minhash.near_duplicates(table(rows), size=3, threshold=0.85).collect()
+    assert Counter(r.n_shingles for r in found) == Counter(len(shingles(text, 3)) for _, text in rows)
+    assert len(met) == 1 and 0 < met[0] <= len(set(rows))
+
+
 # Decontamination
 
 
