@@ -360,17 +360,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component the one with the smallest id.
+    """The rows of ``docs`` that stay: of every component one, of the smallest id (and of its texts the one of the
+    least digest). Rows without an id take part like others and come after them.
 
-    Rows of one id that are copies of each other are one row. Rows without an id cannot be told
-    apart; of those with one text one stays.
+    Texts without words are linked with nothing, so their rows stay; rows of one id that are copies of each other are
+    one row.
     """
-    named = docs.filter(docs[doc_id].isNotNull())
-    found = near_duplicates(named, doc_id, text, size, threshold)
-    ids = materialize(found.groupBy(F.col(doc_id).alias("_id")).agg(F.count_if("kept").alias("_rows")), "ids")
-    # Those that go are fewer than those that stay.
-    gone = materialize(ids.filter("_rows = 0").select("_id"), "ids-that-go")
-    named = named.join(gone, docs[doc_id] == F.col("_id"), "left_anti")
-    if not ids.filter("_rows > 1").isEmpty():
-        named = named.dropDuplicates([doc_id, text])
-    return named.unionByName(docs.filter(docs[doc_id].isNull()).dropDuplicates([text]))
+    found = _row_components(docs, doc_id, text, size, threshold)
+    goes = (F.col("least") != F.col("key")).alias("goes")
+    single = (F.col("least").isNull() & F.col("key.nameless")).alias("single")
+    keys = found.select("key.id", "key.digest", F.coalesce(goes, F.lit(False)).alias("goes"), single).groupBy("id", "digest").agg(
+        F.first("goes").alias("goes"), (F.count(F.lit(1)) > 1).alias("several"), F.first("single").alias("single")
+    )
+    # Those that go are fewer than those that stay; of those that stay only the repeated ones matter.
+    marked = keys.filter("goes OR (several AND NOT single)").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "goes")
+    marked = materialize(marked, "marked-rows")
+    own = F.unhex(F.md5(F.coalesce(docs[text], F.lit(""))))
+    same = docs[doc_id].eqNullSafe(F.col("_id")) & (own == F.col("_digest"))
+    rest = docs.join(marked.select("_id", "_digest"), same, "left_anti")
+    repeated = marked.filter("NOT goes").select("_id", "_digest")
+    if repeated.isEmpty():
+        return rest
+    return rest.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([doc_id, text]))

@@ -146,6 +146,18 @@ def test_one_of_each_group_stays(table):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
+def test_rows_without_an_own_id_are_merged_by_text(table):
+    near = [text for _, text in near_copies(5, 1, 8, 100, 1)]
+    other, third = [text for _, text in near_copies(6, 2, 1, 100, 0)]
+    rows = [(None, near[0]), (None, near[1]), (4, near[2]), (9, near[3]), (9, other), (6, other), (6, third), (6, third + " more"),
+            (None, ""), (None, ""), (None, None), (3, None), (None, "w x y"), (None, "W  x y")]
+    found = minhash.deduplicated(table(rows)).collect()
+    assert Counter(r.doc_id for r in found) == {4: 1, 6: 2, 3: 1, None: 4}
+    assert sorted(r.text for r in found if r.doc_id == 6)[0] in (other, third, third + " more")
+    assert sum(r.text == other for r in found) == 1 and sum(r.text in (third, third + " more") for r in found) == 1
+    assert sum(not r.text for r in found if r.doc_id is None) == 3
+
+
 def test_classes_meet_only_the_text_of_their_row(table, monkeypatch):
     rows = [(i, text) for i, seed in ((None, 8), (1, 9)) for _, text in near_copies(seed, 10, 2, 60, 1)]
     met, real = [], minhash.map_blocks
