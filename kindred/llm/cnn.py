@@ -1,7 +1,7 @@
 """A convolutional network over bytes in NumPy, and the quality classifier that it is.
 
-A text is cut into overlapping chunks that cover all of it. In a chunk, every few bytes, learned filters look at
-the embeddings of the bytes from there on, and the greatest value of each filter stands for the chunk, beside the
+A text is cut into overlapping chunks that cover all of it. In a chunk, at every byte from which a window fits, learned
+filters look at the embeddings of the bytes from there on, and the greatest value of each filter stands for the chunk, beside the
 share of it that is filled. A hidden layer turns that into a few numbers, the mean over all chunks of the text
 stands for the text, and a last layer gives one probability.
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,8 @@ from kindred.session import materialize
 CHUNK = 512
 STRIDE = 384
 WIDTH = 10
-HOP = 4
+#: Bytes from one window to the next. With more than one, bytes and patterns between windows are not looked at.
+HOP = 1
 EMBEDDING = 8
 FILTERS = 32
 HIDDEN = 16
@@ -80,16 +82,22 @@ def initial() -> Weights:
     return weights
 
 
+def _responses(weights: Weights, chunks: np.ndarray) -> np.ndarray:
+    """What each filter finds at each place of each chunk: ``(filters, chunks, places)``."""
+    embedded = np.take(weights["bytes"], chunks, axis=0).reshape(len(chunks), -1)
+    windows = sliding_window_view(embedded, WIDTH * EMBEDDING, axis=1)[:, :: HOP * EMBEDDING]
+    seen = np.ascontiguousarray(windows).reshape(-1, WIDTH * EMBEDDING)
+    return (weights["filters"].T @ seen.T).reshape(FILTERS, len(chunks), len(_AT))
+
+
 def pooled(weights: Weights, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The greatest value of each filter in each chunk (zero at least), and where it is."""
     values = np.empty((len(chunks), FILTERS), np.float32)
     places = np.empty((len(chunks), FILTERS), np.int64)
     for at in range(0, len(chunks), 64):
-        some = chunks[at : at + 64]
-        seen = weights["bytes"][some[:, _COLUMNS]].reshape(-1, WIDTH * EMBEDDING)
-        found = (seen @ weights["filters"]).reshape(len(some), len(_AT), FILTERS)
-        places[at : at + 64] = found.argmax(axis=1)
-        values[at : at + 64] = found.max(axis=1)
+        found = _responses(weights, chunks[at : at + 64])
+        places[at : at + 64] = found.argmax(axis=2).T
+        values[at : at + 64] = found.max(axis=2).T
     return np.maximum(values + weights["levels"], 0), places
 
 
@@ -102,11 +110,9 @@ def probabilities(weights: Weights, data: np.ndarray, edges: np.ndarray) -> np.n
     """The probability of each text."""
     chunks, filled, first = chunks_of(data, edges)
     values = np.empty((len(chunks), FILTERS), np.float32)
-    for at in range(0, len(chunks), 64):
+    for at in range(0, len(chunks), 16):
         # The greatest value without its place, which only training needs.
-        some = chunks[at : at + 64]
-        seen = weights["bytes"][some[:, _COLUMNS]].reshape(-1, WIDTH * EMBEDDING)
-        values[at : at + 64] = (seen @ weights["filters"]).reshape(len(some), len(_AT), FILTERS).max(axis=1)
+        values[at : at + 16] = _responses(weights, chunks[at : at + 16]).max(axis=2).T
     _, units = hidden(weights, np.maximum(values + weights["levels"], 0), filled)
     means = np.add.reduceat(units, first[:-1]) / np.diff(first)[:, None]
     return 1 / (1 + np.exp(-(means @ weights["last"] + weights["last_level"]).astype(np.float64)))

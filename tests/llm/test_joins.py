@@ -385,6 +385,23 @@ def test_chunks_cover_the_whole_text():
         assert seen.all() and first.tolist() == [0, len(chunks)]
 
 
+def test_filters_look_at_every_byte():
+    weights = cnn.initial()
+    weights["filters"][:] = 0
+    weights["bytes"][1:] = 0
+    weights["bytes"][65] = 1
+    weights["filters"][: 10 * cnn.EMBEDDING, 0] = 1
+    found = []
+    for at in (*range(100, 108), 502):
+        data = np.zeros(cnn.CHUNK, np.uint8) + 66
+        data[at : at + 10] = 65
+        chunks = cnn.chunks_of(data, np.array([0, cnn.CHUNK]))[0]
+        values, places = cnn.pooled(weights, chunks)
+        assert cnn._COLUMNS[places[0, 0]].tolist() == list(range(at, at + 10))
+        found.append(values[0, 0])
+    assert len(set(found)) == 1 and set(cnn._COLUMNS.ravel()) == set(range(cnn.CHUNK))
+
+
 def test_classifier_gradients_are_those_of_small_steps():
     weights = cnn.initial()
     weights["last"] += 0.3
