@@ -39,6 +39,8 @@ RARE_TERMS = 2
 #: Bytes of text of a segment.
 SEGMENT_BYTES = 4_000_000
 _TEXT = 2**32
+#: Words of a text that are cut out for its alignments in one row, about.
+ALIGNED_WORDS = 200_000
 #: Hash values of texts to read again; the table of those that are wanted is broadcast.
 BUCKETS = 2**20
 
@@ -206,6 +208,18 @@ def _texts_again(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> Dat
     return once.select("key", "digest", words(F.col("_text")).alias("words"))
 
 
+def _alignment_rows(named: DataFrame, aligned_words: int) -> DataFrame:
+    """``(key, digest, block, alignments)``: the alignments of a text, in as many rows as their words call for."""
+    words_ = F.sum(F.col("size").cast("bigint"))
+    blocks_ = named.groupBy("key", "digest").agg(F.ceil(words_ / aligned_words).alias("blocks")).filter("blocks > 1")
+    blocks_ = materialize(blocks_.select(F.col("key").alias("_key"), F.col("digest").alias("_digest"), "blocks"), "alignment-blocks")
+    same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("digest") == F.col("_digest"))
+    salt = F.pmod(F.xxhash64("segment", "number", "item", "shift"), F.coalesce("blocks", F.lit(1)))
+    return named.join(blocks_, same, "left").groupBy("key", "digest", salt.alias("block")).agg(
+        F.collect_list(F.struct("segment", "number", "item", "shift", "size")).alias("alignments")
+    )
+
+
 def phrase_matches(index: Index, docs: DataFrame, key: str, text: str, items: DataFrame, window: int = WINDOW,
                    rare: int = RARE_TERMS) -> DataFrame:
     """Exact occurrences: ``(segment, number, item, word, length)``, runs of item words that hold a window.
@@ -216,9 +230,7 @@ def phrase_matches(index: Index, docs: DataFrame, key: str, text: str, items: Da
     named = found.join(index.texts.select("segment", "number", "key", "digest"), ["segment", "number"])
     named = materialize(named, "named-alignments")
     texts = _texts_again(docs, key, text, named.select("key", "digest").distinct())
-    per_text = named.groupBy("key", "digest").agg(
-        F.collect_list(F.struct("segment", "number", "item", "shift", "size")).alias("alignments")
-    )
+    per_text = _alignment_rows(named, ALIGNED_WORDS)
     same = per_text["key"].eqNullSafe(texts["key"]) & (per_text["digest"] == texts["digest"])
     # Only the words of an alignment go on, not the text once for each.
     cut = per_text.join(texts, same).select(

@@ -208,6 +208,23 @@ def test_hits_are_those_of_brute_force(spark, documents, odd, table, segment_byt
     assert any(r[-1] for r in found)
 
 
+def test_alignments_of_one_text_are_spread_over_rows(spark, table, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ALIGNED_WORDS", 240)
+    sizes, spread = [], decontaminate._alignment_rows
+    items = [(i, "the " * (10 + i % 3) + f"end{i % 4}") for i in range(6)]
+    docs = table([(1, "the " * 300), (None, "the " * 40 + "end1 " + "the " * 20), (2, "nothing")])
+
+    def watched(named, aligned_words):
+        found = spread(named, aligned_words)
+        sizes.extend(sum(a["size"] for a in r.alignments) for r in found.collect())
+        return found
+
+    monkeypatch.setattr(decontaminate, "_alignment_rows", watched)
+    found = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert Counter(tuple(r) for r in found) == Counter((r.doc_id, *brute_hits(r.text, items)) for r in docs.collect())
+    assert len(sizes) > 20 and max(sizes) < 4 * 240 < sum(sizes)
+
+
 def test_decontamination_of_empty_tables(spark, odd):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(odd, none).filter("contaminated").count() == 0
