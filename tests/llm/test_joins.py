@@ -249,6 +249,32 @@ def test_proximity(spark, table):
     assert sorted({r.key for r in ids.collect()}) == [1, 4]
 
 
+def test_proximity_on_a_whole_table(spark, documents):
+    docs = {r.doc_id: LETTER_WORDS.findall((r.text or "").encode().lower()) for r in documents.collect()}
+    draw = random.Random(12)
+    long = sorted(i for i, own in docs.items() if len(own) > 40)
+    items = []
+    for number in range(12):
+        own = docs[draw.choice(long)]
+        at = draw.randrange(len(own) - 6)
+        items.append((number, b" ".join(draw.sample(own[at : at + 6], 1 + number % 3)).decode()))
+    index = decontaminate.build_index(documents, "doc_id", segment_bytes=50_000)
+    searched = decontaminate.search_terms(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text")
+    near = decontaminate.proximity_matches(index, searched, 5).withColumn("number", minhash.F.shiftright("place", 32).cast("int"))
+    found = near.join(index.texts, ["segment", "number"]).join(searched.select("item", "item_id").distinct(), "item")
+    found = {(r.item_id, r.key) for r in found.collect()}
+    totals = Counter(word for own in docs.values() for word in own)
+    want = set()
+    for number, text in items:
+        terms = list(dict.fromkeys(text.encode().split()))
+        anchor = min(terms, key=lambda t: (totals[t], text.encode().split().index(t)))
+        for doc_id, own in docs.items():
+            for i, word in enumerate(own):
+                if word == anchor and set(terms) <= set(own[max(0, i - 5) : i + 6]):
+                    want.add((number, doc_id))
+    assert found == want and len(want) >= 12
+
+
 # WARC
 
 
