@@ -9,11 +9,15 @@ from kindred.functions.text import encode_list, feature_line, one_field
 from kindred.session import materialize
 
 
-def write_adjacency(playlists: DataFrame, path: str) -> None:
+def write_adjacency(playlists: DataFrame, path: str, in_order: bool = False) -> None:
     """``pid<TAB>part<TAB>id,id,...`` lines; ``playlists`` has ``(pid, part, track_ids)``.
 
-    A list of several parts is several lines, and their numbers keep its order.
+    A list of several parts is several lines, and their numbers keep its order. ``in_order`` sorts the lines by pid
+    and part, over all files in the order of their names; range partitioning samples its input, so that is written before.
     """
+    if in_order:
+        placed = materialize(playlists.select("pid", "part", "track_ids"), "adjacency")
+        playlists = placed.repartitionByRange("pid", "part").sortWithinPartitions("pid", "part")
     numbers = [F.col(name).cast("string") for name in ("pid", "part")]
     _write_lines(playlists.select(F.concat_ws("\t", *numbers, F.array_join("track_ids", ",")).alias("value")), path)
 

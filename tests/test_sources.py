@@ -113,6 +113,14 @@ def test_parts_of_lists_keep_their_order_as_text(spark, tmp_path):
     assert [song for row in found for song in row["track_ids"]] == [f"s{9 - i}" for i in range(7)]
 
 
+def test_adjacency_lines_in_order_of_pid(spark, tmp_path):
+    tracks = spark.createDataFrame([((pid * 37) % 101, i, f"s{i}") for pid in range(101) for i in range(5)], "pid long, pos int, id string")
+    sinks.write_adjacency(playlist_adjacency(tracks.repartition(6), max_items=2), str(tmp_path / "out"), in_order=True)
+    files = sorted((tmp_path / "out").glob("part-*"))
+    keys = [tuple(map(int, line.split("\t")[:2])) for file in files for line in file.read_text().splitlines()]
+    assert keys == [(pid, part) for pid in range(101) for part in range(3)]
+
+
 def test_names_cannot_corrupt_song_lines(spark, tmp_path):
     names = [("1", None, "A"), ("2", "a\tb", "c\nd"), ("3", 'say "x"', None)]
     sinks.write_unique_songs(spark.createDataFrame(names, "id string, title string, artist string"), str(tmp_path / "out"))
