@@ -10,6 +10,8 @@ from kindred.schema import ALGORITHMS
 from kindred.session import build_session, scratch
 
 FORMS = ("text", "parquet")
+#: Rows that are printed at most.
+PREVIEW_ROWS = 1_000
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -47,6 +49,7 @@ def main(arguments: list[str] | None = None) -> None:
     radio = programs.add_parser("radio", help="more like one song")
     radio.add_argument("assignments")
     radio.add_argument("song_id")
+    radio.add_argument("--output", help="folder for the whole result, as Parquet; what is printed is a preview")
 
     given = parser.parse_args(arguments)
     spark = build_session()
@@ -65,10 +68,21 @@ def run(spark, given: argparse.Namespace) -> None:
     elif given.program == "grid":
         jobs.grid(spark, given.songs, given.setups, given.output, given.algorithm, given.name_centers, given.form)
     elif given.program == "radio":
-        jobs.radio(spark, given.assignments, given.song_id).show(1000, truncate=False)
+        found = jobs.radio(spark, given.assignments, given.song_id)
+        if given.output:
+            found.write.mode("overwrite").parquet(given.output)
+            found = spark.read.parquet(given.output)
+        _preview(found, "--output writes all rows")
     else:
         jobs.choose_k(spark, given.errors, given.whole_results).show(1000, truncate=False)
 
 
+def _preview(found, remark: str) -> None:
+    """Print the first ``PREVIEW_ROWS`` rows, and say so if there are more."""
+    found.show(PREVIEW_ROWS, truncate=False)
+    if len(found.take(PREVIEW_ROWS + 1)) > PREVIEW_ROWS:
+        print(f"only the first {PREVIEW_ROWS} rows are shown; {remark}")
+
+
 if __name__ == "__main__":
     main()

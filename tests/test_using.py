@@ -165,6 +165,14 @@ def test_programs_run_on_what_the_ones_before_wrote(spark, catalog, capsys):
     assert same[0] == same[1] and same[0]
 
 
+def test_radio_program_writes_all_rows(spark, tmp_path, capsys):
+    cluster = spark.range(1_503).select("id", lookup.F.lit(0).alias("run_id"), lookup.F.lit(0).alias("cluster"))
+    cluster.write.parquet(str(tmp_path / "assignments"))
+    main(["radio", str(tmp_path / "assignments"), "7", "--output", str(tmp_path / "all")])
+    assert rows(spark.read.parquet(str(tmp_path / "all")), "id") == sorted(((i,) for i in range(1_503) if i != 7), key=repr)
+    assert "only the first 1000 rows" in capsys.readouterr().out
+
+
 @pytest.mark.parametrize("named", [True, False])
 def test_grid_from_files_to_files(spark, catalog, feature_file, named):
     setups = spark.createDataFrame([(0, 2, 1, 3, 0.0), (1, 3, 1, 3, 0.0)], "run_id int, k int, seed int, max_iters int, epsilon double")
