@@ -75,12 +75,18 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(configuration).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
-    """Write ``df`` once to the shared folder and return it as a table read back from there.
+def written(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to ``path`` and return it as a table read back from there.
 
     With ``by`` each value of that column has a folder, so a filter on it reads only its rows.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
     (df.write.partitionBy(by) if by else df.write).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and return it as a table read back from there.
+
+    Inside ``scratch`` it goes with the rest: what is to outlast it is ``written`` to a path taken before.
+    """
+    return written(df, fresh_path(df.sparkSession, label), by)
