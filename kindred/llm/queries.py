@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kindred.llm import bpe, cnn, decontaminate, license_scan, lm, minhash, oracle, quality_rules, sharding, token_counts, warc
+from kindred.llm import bpe, cnn, decontaminate, license_scan, lm, minhash, oracle, prefix_trie, quality_rules, sharding, token_counts, warc
 from kindred.session import fresh_path
 
 
@@ -81,11 +81,15 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", cnn.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, folder, "conversations"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_license_scan, op2_sharding, op3_quality_rules, op4_decontamination, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts, op9_lm_scoring,
-        op10_quality_classifier,
+        op10_quality_classifier, op11_prefix_trie,
     )
 }
 #: Where SQL has no words for an operator (patterns with suppression, models, BPE merges), tests compare it with
@@ -96,4 +100,5 @@ SQL: dict[str, str] = {
     "op4_decontamination": oracle.DECONTAMINATION,
     "op5_warc": oracle.WARC,
     "op7_minhash": oracle.MINHASH,
+    "op11_prefix_trie": oracle.TRIE,
 }
