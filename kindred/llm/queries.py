@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kindred.llm import bpe, cnn, decontaminate, license_scan, lm, minhash, oracle, prefix_trie, quality_rules, sharding, token_counts, warc
+from kindred.llm import bpe, cnn, decontaminate, lexicon_bpe, license_scan, lm, minhash, oracle, prefix_trie, quality_rules, sharding, token_counts, warc
 from kindred.session import fresh_path
 
 
@@ -85,11 +85,17 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(read(spark, folder, "conversations"))
 
 
+def op12_lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    vocabulary = lexicon_bpe.learn(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return lexicon_bpe.encode(documents, ["doc_id"], vocabulary, output="digests")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_license_scan, op2_sharding, op3_quality_rules, op4_decontamination, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts, op9_lm_scoring,
-        op10_quality_classifier, op11_prefix_trie,
+        op10_quality_classifier, op11_prefix_trie, op12_lexicon_bpe,
     )
 }
 #: Where SQL has no words for an operator (patterns with suppression, models, BPE merges), tests compare it with
