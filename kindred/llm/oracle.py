@@ -137,3 +137,20 @@ SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, CASE WHEN n.d > 0 THEN u.conv_id
   coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
 FROM n LEFT JOIN n AS u ON n.up = u.key AND u.d = n.d - 1 LEFT JOIN kids ON kids.key = n.key
 LEFT JOIN ends ON ends.key = n.key JOIN below ON below.key = n.key"""
+
+
+RANKED = f"""
+WITH d AS MATERIALIZED ({_words("documents", "doc_id", LETTERS, lower=True)}),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM d WHERE len(w) > 0),
+i AS MATERIALIZED (SELECT r AS i, item_id, unnest(list_distinct(w)) AS term FROM ({_words("benchmark", "item_id", LETTERS, lower=True)})),
+tf AS MATERIALIZED (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY r, doc_id, n, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, n_docs),
+scored AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_words)))) AS BIGINT) AS score
+  FROM tf JOIN weight USING (term) JOIN i USING (term), total GROUP BY i, item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50"""

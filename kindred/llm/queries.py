@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from kindred.llm import bpe, cnn, decontaminate, lexicon_bpe, license_scan, lm, minhash, oracle, prefix_trie, quality_rules, sharding, token_counts, warc
+from kindred.llm import bpe, cnn, decontaminate, lexicon_bpe, license_scan, lm, minhash, oracle, prefix_trie, quality_rules, ranked_search, sharding, token_counts, warc
 from kindred.session import fresh_path
 
 
@@ -91,11 +91,15 @@ def op12_lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return lexicon_bpe.encode(documents, ["doc_id"], vocabulary, output="digests")
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_license_scan, op2_sharding, op3_quality_rules, op4_decontamination, op5_warc, op6_byte_bpe, op7_minhash, op8_token_counts, op9_lm_scoring,
-        op10_quality_classifier, op11_prefix_trie, op12_lexicon_bpe,
+        op10_quality_classifier, op11_prefix_trie, op12_lexicon_bpe, op13_ranked_search,
     )
 }
 #: Where SQL has no words for an operator (patterns with suppression, models, BPE merges), tests compare it with
@@ -107,4 +111,5 @@ SQL: dict[str, str] = {
     "op5_warc": oracle.WARC,
     "op7_minhash": oracle.MINHASH,
     "op11_prefix_trie": oracle.TRIE,
+    "op13_ranked_search": oracle.RANKED,
 }
