@@ -11,6 +11,7 @@ from kindred.operators.assign import nearest_centers
 from kindred.operators.scale import feature_statistics, scaled_vectors
 from kindred.plans.choose_k import best_k, elbow
 from kindred.plans.clustering import Clustering, cluster, setups, sweep_k
+from kindred.plans.mixed import cluster_with_lists
 from kindred.queries import tables
 from kindred.queries.tables import LINE_FEATURES, embedding_points, line_points, long_form, read, song_points
 from kindred.session import fresh_path, materialize
@@ -22,6 +23,8 @@ LINE_RUN = (6, 11, 3, 0.0)
 SONG_RUN = (6, 5, 3, 0.0)
 GRID = [(4, 5, 3, 0.0), (6, 5, 2, 0.0), (5, 21, 4, 0.05), (3, 21, 4, 1e9)]
 SWEEP = [2, 3, 4, 6, 8]
+MIXED_RUN = (6, 5, 2, 0.0)
+LIST_WEIGHT = 0.5
 
 
 def _one(points: DataFrame, run: tuple, algorithm: str = "kmeans") -> Clustering:
@@ -281,6 +284,32 @@ def clusters_by_name(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.clusters_by_name(_songs_on_lists(spark, folder), found.select("title", "artist", "cluster"))
 
 
+def _mixed(spark: SparkSession, folder: str, **options) -> Clustering:
+    """Songs by their features and the playlists they are on."""
+    lists = tables.pairs(spark, folder).groupBy("id").agg(F.collect_list("pid").alias("items"))
+    points = song_points(spark, folder).join(lists, "id", "left")
+    return cluster_with_lists(points, *MIXED_RUN, weight=LIST_WEIGHT, **options)
+
+
+def mixed_medoids(spark: SparkSession, folder: str) -> DataFrame:
+    return _mixed(spark, folder).centers.select("cluster", "id", "n", F.size("items").alias("playlists"))
+
+
+def mixed_assign(spark: SparkSession, folder: str) -> DataFrame:
+    found = _mixed(spark, folder).assignments
+    return found.select("id", "title", "artist", "cluster", _rounded("distance"))
+
+
+def mixed_history(spark: SparkSession, folder: str) -> DataFrame:
+    return _mixed(spark, folder).history.select("iter", "clusters", _rounded("delta"), _rounded("wsos"))
+
+
+def mixed_medoids_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with little room for medoids and candidates, and few candidates at first."""
+    found = _mixed(spark, folder, model_bytes=2_000, candidates=2).centers
+    return found.select("cluster", "id", "n", F.size("items").alias("playlists"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -291,5 +320,6 @@ QUERIES = {
         cluster_sizes_of_assignments, kmeans_assign_tables, kmeans_delta_tables, kmedoids_assign_tables,
         written_assignments, written_runs, written_centers,
         sorted_assignments, center_names, radio, cluster_playlists, clusters_by_name,
+        mixed_medoids, mixed_assign, mixed_history, mixed_medoids_blocks,
     )
 }

@@ -6,7 +6,7 @@ all pairs in a cluster.
 
 from __future__ import annotations
 
-from kindred.queries.clustering import EMBEDDING_RUN, GRID, LINE_RUN, SONG_RUN, SWEEP
+from kindred.queries.clustering import EMBEDDING_RUN, GRID, LINE_RUN, LIST_WEIGHT, MIXED_RUN, SONG_RUN, SWEEP
 from kindred.queries.tables import LINE_FEATURES
 from kindred.schema import FEATURES
 
@@ -143,6 +143,54 @@ runs AS MATERIALIZED (
     return "WITH " + ",".join(parts)
 
 
+def _mixed_step(i: int) -> str:
+    """Points to medoids, then every pair of members of a cluster."""
+    mixed = f"""{1 - LIST_WEIGHT} * e / {len(FEATURES)} + {LIST_WEIGHT} *
+      CASE WHEN x.size + y.size > 0 THEN 1 - coalesce(c, 0) / (x.size + y.size - coalesce(c, 0)) ELSE 0 END"""
+    return f"""
+g{i} AS MATERIALIZED (
+  SELECT x.id, cluster, {mixed} AS d FROM (
+    SELECT p.id, m.cluster, m.id AS mid, sum((p.val - q.val) * (p.val - q.val)) AS e
+    FROM m{i - 1} m JOIN pts q ON q.id = m.id JOIN pts p USING (dim) GROUP BY ALL) gaps
+  JOIN sizes x USING (id) JOIN sizes y ON y.id = mid
+  LEFT JOIN (SELECT a.id, b.id AS mid, count(*) AS c FROM lists a JOIN lists b USING (item) JOIN m{i - 1} m ON m.id = b.id
+    GROUP BY ALL) shared ON shared.id = x.id AND shared.mid = gaps.mid),
+a{i} AS MATERIALIZED (
+  SELECT id, cluster FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, cluster) AS place FROM g{i}) WHERE place = 1),
+p{i} AS MATERIALIZED (
+  SELECT cluster, x.id, y.id AS other, {mixed} AS d FROM (
+    SELECT cluster, x.id, y.id AS other, list_distance(x.v, y.v) * list_distance(x.v, y.v) AS e
+    FROM (SELECT * FROM a{i} JOIN vectors USING (id)) x JOIN (SELECT * FROM a{i} JOIN vectors USING (id)) y USING (cluster)) pairs
+  JOIN sizes x USING (id) JOIN sizes y ON y.id = other
+  LEFT JOIN (SELECT a.id, b.id AS other, count(*) AS c FROM lists a JOIN lists b USING (item) GROUP BY ALL) shared
+    ON shared.id = x.id AND shared.other = pairs.other),
+t{i} AS MATERIALIZED (SELECT cluster, id, count(*) AS n, sum(d) AS total FROM p{i} GROUP BY cluster, id),
+m{i} AS MATERIALIZED (
+  SELECT cluster, id, n, total FROM (
+    SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(total / n, 9), id) AS place FROM t{i}) WHERE place = 1),
+s{i} AS MATERIALIZED (
+  SELECT cluster, {mixed} AS d FROM (
+    SELECT o.cluster, o.id, u.id AS other, sum((p.val - q.val) * (p.val - q.val)) AS e
+    FROM m{i - 1} o JOIN m{i} u USING (cluster) JOIN pts p ON p.id = o.id JOIN pts q ON q.id = u.id AND p.dim = q.dim GROUP BY ALL) moves
+  JOIN sizes x USING (id) JOIN sizes y ON y.id = other
+  LEFT JOIN (SELECT a.id, b.id AS other, count(*) AS c FROM lists a JOIN lists b USING (item) GROUP BY ALL) shared
+    ON shared.id = x.id AND shared.other = moves.other),
+h{i} AS MATERIALIZED (
+  SELECT {i} AS iter, count(*) AS clusters, sum(total) / sum(n) AS wsos,
+    CASE WHEN count(*) < (SELECT count(*) FROM m{i - 1}) THEN 'infinity'::DOUBLE ELSE (SELECT sum(d) FROM s{i}) END AS delta FROM m{i})"""
+
+
+def _mixed() -> str:
+    """Two iterations; the first does not stop the run unless nothing moves."""
+    k, seed, iterations, epsilon = MIXED_RUN
+    steps = ",".join(_mixed_step(i) for i in range(1, iterations + 1))
+    return f"""WITH {SONG_POINTS},{_first([MIXED_RUN])},
+vectors AS MATERIALIZED (SELECT id, list(val ORDER BY dim) AS v FROM pts GROUP BY id),
+lists AS MATERIALIZED (SELECT DISTINCT l_partkey::VARCHAR AS id, l_orderkey AS item FROM lineitem),
+sizes AS MATERIALIZED (SELECT id, count(item) AS size FROM (SELECT DISTINCT id FROM pts) LEFT JOIN lists USING (id) GROUP BY id),
+m0 AS MATERIALIZED (SELECT cluster, id FROM draw WHERE cluster < k),{steps}"""
+
+
 EMBEDDING_CLUSTERS = _clustering(EMBEDDING_POINTS, [EMBEDDING_RUN])
 LINE_CLUSTERS = _clustering(LINE_POINTS, [LINE_RUN])
 SONG_CLUSTERS = _clustering(SONG_POINTS, [SONG_RUN])
@@ -223,6 +271,9 @@ SELECT iter, clusters, round(delta, 4) AS delta, round(wsos, 4) AS wsos FROM his
 WHERE iter <= (SELECT iter FROM stops)"""
 _RUNS = "\nSELECT run_id, k, seed, iters, round(wsos, 4) AS wsos FROM runs"
 
+_MIXED_MEDOIDS = f"""
+SELECT CAST(cluster AS INTEGER) AS cluster, id, n, CAST(size AS INTEGER) AS playlists FROM m{MIXED_RUN[2]} JOIN sizes USING (id)"""
+
 SQL = {
     "playlist_adjacency": _adjacency(1_000_000),
     "playlist_adjacency_parts": _adjacency(3),
@@ -361,6 +412,15 @@ SELECT run_id, CAST(cluster AS INTEGER) AS cluster, n, CAST(dim AS INTEGER) AS d
 FROM centers JOIN (SELECT run_id, cluster, count(*) AS n FROM assigned GROUP BY run_id, cluster) USING (run_id, cluster)""",
     "sorted_assignments": EMBEDDING_CLUSTERS + """
 SELECT CAST(cluster AS INTEGER) AS cluster, id FROM assigned ORDER BY cluster, id""",
+    "mixed_medoids": _mixed() + _MIXED_MEDOIDS,
+    "mixed_medoids_blocks": _mixed() + _MIXED_MEDOIDS,
+    "mixed_assign": _mixed() + f"""
+SELECT a.id, title, artist, CAST(a.cluster AS INTEGER) AS cluster, round(d, 4) AS distance
+FROM a{MIXED_RUN[2]} a JOIN m{MIXED_RUN[2]} m USING (cluster) JOIN p{MIXED_RUN[2]} p ON p.id = m.id AND p.other = a.id
+JOIN featured f ON f.id = a.id""",
+    "mixed_history": _mixed() + " UNION ALL ".join(
+        f"\nSELECT iter, clusters, round(delta, 4) AS delta, round(wsos, 4) AS wsos FROM h{i + 1}" for i in range(MIXED_RUN[2])
+    ),
     "radio": EMBEDDING_CLUSTERS + """
 SELECT CAST(cluster AS INTEGER) AS cluster, id FROM assigned
 WHERE cluster = (SELECT cluster FROM assigned WHERE id = 17) AND id <> 17""",
