@@ -16,6 +16,8 @@ from pyspark import cloudpickle
 # Distances and points taken at once, few enough to stay in a core's cache.
 BLOCK = 1 << 19
 BLOCK_ROWS = 4096
+# Bytes of features in one packed row, so that a batch of ten thousand rows stays below 100 MB.
+PACKED_BYTES = 8192
 
 
 def matrix(column) -> np.ndarray:
@@ -92,86 +94,262 @@ def _nearest_candidate(points, centers, near) -> np.ndarray:
     return candidate[first]
 
 
-def sums_task(model):
-    """Per task: rows, squared error and feature sums of every cluster of every run.
+def pack_task(dims: int):
+    """Points as rows of many points each: ``ids`` and ``packed``, their features as bytes. Input: features and id."""
+    step = max(1, PACKED_BYTES // (8 * dims))
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = np.ascontiguousarray(matrix(batch.column(0)))
+            if points.shape[1] != dims:
+                raise ValueError("feature vectors must all have the same length")
+            starts = np.arange(0, len(points), step)
+            ends = np.append(starts, len(points)).astype(np.int32)
+            data = pa.py_buffer(points)
+            packed = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends * np.int32(8 * dims)), data])
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), batch.column(1)), packed], names=["ids", "packed"])
+
+    return run
+
+
+def unpacked(column, kind, width: int = 1) -> np.ndarray:
+    """The numbers of all values of a binary column, one after the other, ``width`` to a row."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind)
+    return values.reshape(-1, width) if width > 1 or kind == np.float64 else values
 
-    Gives ``run_id, cluster, n, sse, s0, s1, ...``, one row per cluster that got points.
-    """
+
+def like_packed(numbers: np.ndarray, column, width: int) -> pa.Array:
+    """One number per point as bytes, in rows as those of a packed column of ``width`` features."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    ends = (offsets - offsets[0]) // (8 * width) * numbers.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
+class _Sums:
+    """Rows, squared error and feature sums of the clusters of one run."""
+
+    def __init__(self, run_id: int, labels: np.ndarray, dims: int):
+        self.run_id, self.labels = run_id, labels
+        self.rows, self.error, self.sums = np.zeros(len(labels)), np.zeros(len(labels)), np.zeros((dims, len(labels)))
+
+    def add(self, points: np.ndarray, best: np.ndarray, distance: np.ndarray) -> None:
+        size = len(self.labels)
+        self.rows += np.bincount(best, minlength=size)
+        self.error += np.bincount(best, weights=distance, minlength=size)
+        for dim in range(points.shape[1]):
+            self.sums[dim] += np.bincount(best, weights=points[:, dim], minlength=size)
+
+    def batches(self):
+        """``run_id, cluster, n, sse, s0, s1, ...``, one row per cluster that got points."""
+        used = np.flatnonzero(self.rows)
+        if len(used):
+            columns = [
+                pa.array(np.full(len(used), self.run_id, dtype=np.int32)), pa.array(self.labels[used]),
+                pa.array(self.rows[used].astype(np.int64)), pa.array(self.error[used]), *[pa.array(dim[used]) for dim in self.sums],
+            ]
+            names = ["run_id", "cluster", "n", "sse", *[f"s{i}" for i in range(len(self.sums))]]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def sums_task(model, dims: int):
+    """Per task: rows, squared error and feature sums of every cluster of every run, from packed points."""
 
     def run(batches):
         runs = model.value
-        totals = [
-            (np.zeros(len(labels)), np.zeros(len(labels)), np.zeros((centers.shape[1], len(labels))))
-            for _, labels, centers in runs
-        ]
+        totals = [_Sums(run_id, labels, dims) for run_id, labels, _ in runs]
+        for batch in batches:
+            if batch.num_rows:
+                points = unpacked(batch.column(0), np.float64, dims)
+                for (_, _, centers), total in zip(runs, totals):
+                    total.add(points, *nearest(points, centers))
+        for total in totals:
+            yield from total.batches()
+
+    return run
+
+
+def found_task(model, dims: int):
+    """Packed points (``ids``, ``packed``) with the position of the nearest center in each run: ``c0, c1, ...``."""
+
+    def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points = matrix(batch.column(0))
-            for (_, labels, centers), (rows, error, sums) in zip(runs, totals):
-                best, distance = nearest(points, centers)
-                rows += np.bincount(best, minlength=len(labels))
-                error += np.bincount(best, weights=distance, minlength=len(labels))
-                for dim in range(points.shape[1]):
-                    sums[dim] += np.bincount(best, weights=points[:, dim], minlength=len(labels))
-        for (run_id, labels, _), (rows, error, sums) in zip(runs, totals):
-            used = np.flatnonzero(rows)
-            if len(used):
-                columns = [
-                    pa.array(np.full(len(used), run_id, dtype=np.int32)),
-                    pa.array(labels[used]),
-                    pa.array(rows[used].astype(np.int64)),
-                    pa.array(error[used]),
-                    *[pa.array(dim[used]) for dim in sums],
-                ]
-                names = ["run_id", "cluster", "n", "sse", *[f"s{i}" for i in range(len(sums))]]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            points = unpacked(batch.column(1), np.float64, dims)
+            best = [nearest(points, centers)[0].astype(np.int32) for _, _, centers in model.value]
+            columns = [batch.column(0), batch.column(1), *[like_packed(one, batch.column(1), dims) for one in best]]
+            yield pa.RecordBatch.from_arrays(columns, names=["ids", "packed", *[f"c{i}" for i in range(len(best))]])
 
     return run
 
 
-def medoids_task(model):
-    """Per task: the member of each cluster nearest to the cluster's mean.
+def sums_of_found_task(model, dims: int):
+    """The same sums as :func:`sums_task` from packed points and the positions found for them."""
+
+    def run(batches):
+        runs = model.value
+        totals = [_Sums(run_id, labels, dims) for run_id, labels, _ in runs]
+        for batch in batches:
+            if batch.num_rows:
+                points = unpacked(batch.column(0), np.float64, dims)
+                for i, ((_, _, centers), total) in enumerate(zip(runs, totals), 1):
+                    best = unpacked(batch.column(i), np.int32)
+                    total.add(points, best, squared_gaps(points, centers[best]))
+        for total in totals:
+            yield from total.batches()
 
-    Input columns are the features and the id; the model carries means and mean squared errors
-    beside the centers. Distances count in units of the cluster's mean squared error, to nine
-    places, so that members equally near up to rounding tie and the lowest id is taken.
-    Gives ``run_id, cluster, gap, id, center``.
+    return run
+
+
+class _Medoids:
+    """The members nearest to the means of the clusters of one run so far."""
+
+    def __init__(self, run_id: int, labels: np.ndarray):
+        self.run_id, self.labels, self.picked, self.id_type = run_id, labels, None, None
+
+    def add(self, points: np.ndarray, ids: pa.Array, cluster: np.ndarray, gap: np.ndarray) -> None:
+        self.id_type = ids.type
+        frame = ids.to_pandas()
+        chosen = _least_per_cluster(cluster, gap, frame)
+        picked = pd.DataFrame({"c": cluster[chosen], "gap": gap[chosen], "id": frame.iloc[chosen].to_numpy(), "x": list(points[chosen])})
+        if self.picked is not None:
+            picked = pd.concat([self.picked, picked], ignore_index=True)
+            picked = picked.iloc[_least_per_cluster(picked["c"].to_numpy(), picked["gap"].to_numpy(), picked["id"])]
+        self.picked = picked
+
+    def batches(self):
+        """``run_id, cluster, gap, id, center``."""
+        if self.picked is not None:
+            picked = self.picked
+            columns = [
+                pa.array(np.full(len(picked), self.run_id, dtype=np.int32)), pa.array(self.labels[picked["c"].to_numpy()]),
+                pa.array(picked["gap"].to_numpy()), pa.array(picked["id"].tolist(), type=self.id_type),
+                pa.array(picked["x"].tolist(), type=pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["run_id", "cluster", "gap", "id", "center"])
+
+
+def medoids_task(model, dims: int):
+    """Per task: the member of each cluster nearest to the cluster's mean, without a search.
+
+    Input columns are packed points, ids, and the positions found for them. The model has for each run the numbers of
+    the updated clusters, the place among them of each position, their means and mean squared errors. Distances
+    count in units of the cluster's mean squared error, to nine places, so that members equally near up to rounding
+    tie and the lowest id is taken.
     """
 
     def run(batches):
         runs = model.value
-        found = [None] * len(runs)
-        id_type = None
+        best = [_Medoids(run_id, labels) for run_id, labels, *_ in runs]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points = matrix(batch.column(0))
-            id_type = batch.schema.field(1).type
-            ids = batch.column(1).to_pandas()
-            for i, (_, _, centers, means, spreads) in enumerate(runs):
-                best, _ = nearest(points, centers)
-                gap = relative_gap(squared_gaps(points, means[best]), spreads[best])
-                chosen = _least_per_cluster(best, gap, ids)
-                picked = pd.DataFrame(
-                    {"c": best[chosen], "gap": gap[chosen], "id": ids.iloc[chosen].to_numpy(), "x": list(points[chosen])}
-                )
-                if found[i] is not None:
-                    picked = pd.concat([found[i], picked], ignore_index=True)
-                    again = _least_per_cluster(picked["c"].to_numpy(), picked["gap"].to_numpy(), picked["id"])
-                    picked = picked.iloc[again]
-                found[i] = picked
-        for (run_id, labels, *_), picked in zip(runs, found):
-            if picked is not None:
-                clusters = labels[picked["c"].to_numpy()]
-                columns = [
-                    pa.array(np.full(len(picked), run_id, dtype=np.int32)),
-                    pa.array(clusters),
-                    pa.array(picked["gap"].to_numpy()),
-                    pa.array(picked["id"].tolist(), type=id_type),
-                    pa.array(picked["x"].tolist(), type=pa.list_(pa.float64())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["run_id", "cluster", "gap", "id", "center"])
+            points, ids = unpacked(batch.column(0), np.float64, dims), batch.column(1).flatten()
+            for i, ((_, _, places, means, spreads), one) in enumerate(zip(runs, best), 2):
+                cluster = places[unpacked(batch.column(i), np.int32)]
+                one.add(points, ids, cluster, relative_gap(squared_gaps(points, means[cluster]), spreads[cluster]))
+        for one in best:
+            yield from one.batches()
+
+    return run
+
+
+class Tiles:
+    """Centers in blocks, each with its cluster numbers, ascending within blocks and from block to block."""
+
+    def __init__(self, blocks: list):
+        self.blocks = blocks
+
+    def nearer(self, points: np.ndarray, cluster: np.ndarray, distance: np.ndarray) -> None:
+        """Put in the nearer of the centers so far and those of all blocks; a tie leaves the lower cluster."""
+        for block in self.blocks:
+            labels, centers = block.value[:2]
+            best, gap = nearest(points, centers)
+            closer = gap < distance
+            cluster[closer] = labels[best[closer]]
+            distance[closer] = gap[closer]
+
+    def places(self, cluster: np.ndarray):
+        """For each block: the points whose cluster it has, the places of these clusters in it, and its arrays."""
+        for block in self.blocks:
+            labels = block.value[0]
+            at = np.minimum(np.searchsorted(labels, cluster), len(labels) - 1)
+            own = np.flatnonzero(labels[at] == cluster)
+            if len(own):
+                yield own, at[own], block.value
+
+
+def tiles_task(tiles: Tiles, dims: int):
+    """Packed points with the nearest of the centers so far and of those in tiles: ``ids, packed, cluster, distance``.
+
+    Blocks of centers pass a batch of points that stays; what there is so far comes as two further columns, if at all.
+    """
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = unpacked(batch.column(1), np.float64, dims)
+            if batch.num_columns > 2:
+                cluster, distance = unpacked(batch.column(2), np.int32).copy(), unpacked(batch.column(3), np.float64).ravel().copy()
+            else:
+                cluster, distance = np.full(len(points), -1, np.int32), np.full(len(points), np.inf)
+            tiles.nearer(points, cluster, distance)
+            added = [like_packed(one, batch.column(1), dims) for one in (cluster, distance)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *added], names=["ids", "packed", "cluster", "distance"])
+
+    return run
+
+
+def tile_sums_task(run_id: int, dims: int):
+    """Sums of the clusters that a task's points are in, for any number of clusters: input ``packed, cluster, distance``.
+
+    A batch's rows go out as soon as they are added up, so a task holds no array of all clusters.
+    """
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                labels, best = np.unique(unpacked(batch.column(1), np.int32), return_inverse=True)
+                total = _Sums(run_id, labels, dims)
+                total.add(unpacked(batch.column(0), np.float64, dims), best.reshape(-1), unpacked(batch.column(2), np.float64).ravel())
+                yield from total.batches()
+
+    return run
+
+
+def tile_medoids_task(tiles: Tiles, run_id: int, dims: int):
+    """The members nearest to the means of their clusters; input ``ids, packed, cluster``, tiles of means and spreads."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points, ids = unpacked(batch.column(1), np.float64, dims), batch.column(0).flatten()
+            for own, at, (labels, means, spreads) in tiles.places(unpacked(batch.column(2), np.int32)):
+                one = _Medoids(run_id, labels)
+                some = points[own]
+                one.add(some, ids.take(pa.array(own)), at, relative_gap(squared_gaps(some, means[at]), spreads[at]))
+                yield from one.batches()
+
+    return run
+
+
+def tile_gaps_task(tiles: Tiles, dims: int):
+    """``id, cluster, distance`` of the points in clusters that the tiles have: the distance to the center there."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points, ids = unpacked(batch.column(1), np.float64, dims), batch.column(0).flatten()
+            cluster = unpacked(batch.column(2), np.int32)
+            for own, at, (_, centers, *_) in tiles.places(cluster):
+                columns = [ids.take(pa.array(own)), pa.array(cluster[own]), pa.array(squared_gaps(points[own], centers[at]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "cluster", "distance"])
 
     return run
 
@@ -218,26 +396,20 @@ def assign_task(model, columns: int):
     return run
 
 
-def nearer_task(block, columns: int):
-    """Keep, for every point, the nearer of its center so far and the centers of one block.
+def nearer_task(tiles: Tiles, columns: int):
+    """Keep, for every point, the nearer of its center so far and the centers in tiles.
 
-    Input: ``columns`` columns passed on, then features, cluster and distance so far. Blocks
-    come in cluster order, so a tie leaves the earlier, lower cluster.
+    Input: ``columns`` columns passed on, then features, cluster and distance so far. Blocks come in cluster order,
+    so a tie leaves the earlier, lower cluster.
     """
 
     def run(batches):
-        labels, centers = block.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            best, distance = nearest(matrix(batch.column(columns)), centers)
-            cluster = batch.column(columns + 1).to_numpy(zero_copy_only=False)
-            so_far = batch.column(columns + 2).to_numpy(zero_copy_only=False)
-            closer = distance < so_far
-            arrays = [batch.column(i) for i in range(columns + 1)] + [
-                pa.array(np.where(closer, labels[best], cluster).astype(np.int32)),
-                pa.array(np.where(closer, distance, so_far)),
-            ]
+            cluster, distance = (batch.column(columns + i).to_numpy(zero_copy_only=False).copy() for i in (1, 2))
+            tiles.nearer(matrix(batch.column(columns)), cluster, distance)
+            arrays = [batch.column(i) for i in range(columns + 1)] + [pa.array(cluster), pa.array(distance)]
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
 
     return run

@@ -139,8 +139,8 @@ def test_agrees_with_the_library_clustering_from_the_same_start(spark):
 @pytest.mark.parametrize("partitions,worth", [(1, 1), (60, 1_000_000)])
 def test_partitions_are_made_to_suit(spark, monkeypatch, partitions, worth):
     monkeypatch.setattr(clustering, "_WORTH_SPREADING", worth)
-    working, total = clustering._spread(points_of(spark, RANDOM, partitions).persist(), 5)
-    assert total == 50 and working.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    working, total, tasks = clustering._spread(points_of(spark, RANDOM, partitions).persist(), 5)
+    assert total == 50 and tasks == working.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert rows(working, "id") == sorted([(i,) for i in range(50)], key=repr)
     with pytest.raises(ValueError):
         clustering._spread(working.limit(0), 5)
