@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions.vectors import squared_distance
+from kindred.operators.ordering import row_numbers
 from kindred.schema import NAME_NOT_FOUND, NAME_SYNTHETIC
 from kindred.session import materialize
 
 # Places that the rows of one cluster or one vector are dealt to in a join.
 SALTS = 16
 _DRAW_RANGE = 16**32  # an MD5 digest has 32 hexadecimal places
+# Centers of all seeds together up to which a draw is sorted by a window; beyond, no task holds a seed.
+_WINDOW_ROWS = 100_000
 
 
 def initial_centers(points: DataFrame, runs: list, total: int | None = None) -> DataFrame:
@@ -65,7 +68,7 @@ def _digest(seed: int) -> Column:
 def _draw(points: DataFrame, wanted: dict[int, int], limits: dict[int, str | None]) -> DataFrame:
     """The first ``k`` points by digest for each seed, in one pass.
 
-    Only digests below a seed's limit go on, so the shuffle and the window hold about ``k``
+    Only digests below a seed's limit go on, so the shuffle and the sort hold about ``k``
     rows for a seed rather than all points.
     """
 
@@ -76,15 +79,27 @@ def _draw(points: DataFrame, wanted: dict[int, int], limits: dict[int, str | Non
         *[F.struct(F.lit(seed).alias("seed"), F.lit(k).alias("k"), _digest(seed).alias("digest"), below(seed).alias("kept"))
           for seed, k in wanted.items()]
     )
-    order = Window.partitionBy("seed").orderBy("digest", "id")
-    return (
+    drawn = (
         points.filter(reduce(or_, [below(seed) for seed in wanted]))
         .select("id", "features", F.inline(draws))
         .filter("kept")
-        .withColumn("place", F.row_number().over(order) - 1)
-        .filter(F.col("place") < F.col("k"))
-        .select("seed", "place", "id", "features")
     )
+    placed = _numbered(drawn) if sum(wanted.values()) > _WINDOW_ROWS else _sorted(drawn)
+    return placed.filter(F.col("place") < F.col("k")).select("seed", "place", "id", "features")
+
+
+def _sorted(drawn: DataFrame) -> DataFrame:
+    """Places by seed, each seed's rows in one task: for draws of a bounded size."""
+    order = Window.partitionBy("seed").orderBy("digest", "id")
+    return drawn.withColumn("place", F.row_number().over(order) - 1)
+
+
+def _numbered(drawn: DataFrame) -> DataFrame:
+    """Places by seed from ranges of digests: a row's number less that of the first row of its seed."""
+    numbered = row_numbers(drawn, ["seed", "digest", "id"], "_row")
+    first = numbered.groupBy("seed").agg(F.min("_row").alias("_first"))
+    # One row for each seed.
+    return numbered.join(F.broadcast(first), "seed").withColumn("place", (F.col("_row") - F.col("_first")).cast("int"))
 
 
 def cluster_means(assigned: DataFrame, dims: int) -> DataFrame:

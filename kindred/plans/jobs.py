@@ -79,7 +79,7 @@ def grid(
 
 def radio(spark: SparkSession, assignments_path: str, song_id: str) -> DataFrame:
     """The other songs in the clusters of a song, from written assignments."""
-    return lookup.radio(spark.read.parquet(assignments_path), song_id)
+    return lookup.radio_from_files(spark, assignments_path, song_id)
 
 
 def choose_k(spark: SparkSession, errors_path: str, whole_results: bool = False) -> DataFrame:

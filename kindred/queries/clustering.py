@@ -268,6 +268,13 @@ def radio(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.radio(found, 17).select("cluster", "id")
 
 
+def radio_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from written assignments and their index by id."""
+    path = fresh_path(spark, "clustering")
+    sinks.write_clustering(_one(embedding_points(spark, folder), EMBEDDING_RUN), path)
+    return lookup.radio_from_files(spark, f"{path}/assignments", 17).select("cluster", "id")
+
+
 def _songs_on_lists(spark: SparkSession, folder: str) -> DataFrame:
     counts = tables.pairs(spark, folder).groupBy("id").agg(F.count(F.lit(1)).alias("playlists"))
     return tables.featured_songs(spark, folder).select("id", "title", "artist").join(counts, "id")
@@ -319,7 +326,7 @@ QUERIES = {
         lost_clusters, wsos_by_k, elbow_table, elbow_k, grid_runs, grid_medoid_runs, grid_assignments, cluster_sizes,
         cluster_sizes_of_assignments, kmeans_assign_tables, kmeans_delta_tables, kmedoids_assign_tables,
         written_assignments, written_runs, written_centers,
-        sorted_assignments, center_names, radio, cluster_playlists, clusters_by_name,
+        sorted_assignments, center_names, radio, radio_from_files, cluster_playlists, clusters_by_name,
         mixed_medoids, mixed_assign, mixed_history, mixed_medoids_blocks,
     )
 }

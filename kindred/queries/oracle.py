@@ -271,6 +271,9 @@ SELECT iter, clusters, round(delta, 4) AS delta, round(wsos, 4) AS wsos FROM his
 WHERE iter <= (SELECT iter FROM stops)"""
 _RUNS = "\nSELECT run_id, k, seed, iters, round(wsos, 4) AS wsos FROM runs"
 
+_RADIO = """
+SELECT CAST(cluster AS INTEGER) AS cluster, id FROM assigned
+WHERE cluster = (SELECT cluster FROM assigned WHERE id = 17) AND id <> 17"""
 _MIXED_MEDOIDS = f"""
 SELECT CAST(cluster AS INTEGER) AS cluster, id, n, CAST(size AS INTEGER) AS playlists FROM m{MIXED_RUN[2]} JOIN sizes USING (id)"""
 
@@ -421,9 +424,8 @@ JOIN featured f ON f.id = a.id""",
     "mixed_history": _mixed() + " UNION ALL ".join(
         f"\nSELECT iter, clusters, round(delta, 4) AS delta, round(wsos, 4) AS wsos FROM h{i + 1}" for i in range(MIXED_RUN[2])
     ),
-    "radio": EMBEDDING_CLUSTERS + """
-SELECT CAST(cluster AS INTEGER) AS cluster, id FROM assigned
-WHERE cluster = (SELECT cluster FROM assigned WHERE id = 17) AND id <> 17""",
+    "radio": EMBEDDING_CLUSTERS + _RADIO,
+    "radio_from_files": EMBEDDING_CLUSTERS + _RADIO,
     "cluster_playlists": SONG_CLUSTERS + f"""
 SELECT id, title, artist, playlists, CAST(cluster AS INTEGER) AS cluster FROM {_COUNTED_SONGS} JOIN assigned USING (id)""",
     "clusters_by_name": SONG_CLUSTERS + f"""

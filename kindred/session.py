@@ -75,6 +75,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(configuration).delete(path, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def written(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     """Write ``df`` to ``path`` and return it as a table read back from there.
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions.text import encode_list, feature_line, one_field
 from kindred.session import materialize
 
+#: About how many rows a folder of clusters or of ids holds, and how many folders there are at most.
+ROWS_PER_FOLDER = 1_000_000
+MOST_FOLDERS = 1_000
+
 
 def write_adjacency(playlists: DataFrame, path: str, in_order: bool = False) -> None:
     """``pid<TAB>part<TAB>id,id,...`` lines; ``playlists`` has ``(pid, part, track_ids)``.
@@ -51,18 +55,44 @@ def write_setups(setups: DataFrame, path: str) -> None:
 
 
 def write_assignments(assignments: DataFrame, runs: DataFrame, path: str) -> None:
-    """Assignments as Parquet, a folder for each K and run, ordered by cluster within its files.
+    """Assignments as Parquet, a folder for each K, run and group of clusters, ordered by cluster within its files,
+    and beside them an index by id (see :func:`write_id_index`).
 
     Range partitioning by run, cluster and a hash of the id spreads a big cluster over many files.
     It samples its input, so the assignments are worked out and written down before.
     """
     placed = materialize(assignments, "assignments")
-    ranged = placed.repartitionByRange("run_id", "cluster", F.xxhash64("id"))
     # The runs table has one row for each setup.
-    ranged = ranged.join(F.broadcast(runs.select("run_id", "k")), "run_id")
+    sizes = placed.groupBy("run_id").agg(_folders(F.count(F.lit(1))).alias("groups")).join(F.broadcast(runs.select("run_id", "k")), "run_id")
+    sizes = materialize(sizes, "run-sizes")
+    ranged = placed.repartitionByRange("run_id", "cluster", F.xxhash64("id")).join(F.broadcast(sizes), "run_id")
+    ranged = ranged.withColumn("group", F.pmod("cluster", "groups"))
     # Folder columns first, so that the writer keeps this order.
-    ranged = ranged.sortWithinPartitions("k", "run_id", "cluster", "id")
-    ranged.write.mode("overwrite").partitionBy("k", "run_id").parquet(path)
+    ranged = ranged.sortWithinPartitions("k", "run_id", "groups", "group", "cluster", "id")
+    ranged.write.mode("overwrite").partitionBy("k", "run_id", "groups", "group").parquet(path)
+    write_id_index(placed, path)
+
+
+def write_id_index(assignments: DataFrame, path: str) -> None:
+    """``(id, run_id, cluster)`` beside the assignments at ``path``, a folder for each bucket of ids, ordered by id.
+
+    A question about one id opens the folder of its bucket, and there only what Bloom filters and the order let through.
+    """
+    buckets = assignments.agg(_folders(F.count(F.lit(1)))).first()[0]
+    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+    rows = assignments.select(F.lit(buckets).alias("buckets"), bucket.alias("bucket"), "id", "run_id", "cluster")
+    rows = rows.repartition("bucket", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4))).sortWithinPartitions("buckets", "bucket", "id")
+    filters = {"parquet.bloom.filter.enabled#id": "true", "parquet.bloom.filter.expected.ndv#id": str(ROWS_PER_FOLDER)}
+    rows.write.options(**filters).mode("overwrite").partitionBy("buckets", "bucket").parquet(id_index(path))
+
+
+def id_index(path: str) -> str:
+    """Where the index by id of the assignments at ``path`` is."""
+    return path.rstrip("/") + "_by_id"
+
+
+def _folders(rows: Column) -> Column:
+    return F.least(F.greatest(F.ceil(rows / ROWS_PER_FOLDER), F.lit(1)), F.lit(MOST_FOLDERS)).cast("int")
 
 
 def write_assignment_lines(assignments: DataFrame, path: str) -> None:
