@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The three text shapes of results.
 ERROR_LINE = r"^\s*Array\(([^,]+), ([^)]+)\)\s*$"
 RUN_LINE = r"^\(Setup\((\d+),(-?\d+),(\d+),([^)]+)\),ReadableClustering\((\d+),([^,]+),"
+# What is between two entries of a list in a whole-result line; names hold no commas, so a head never has it.
+ENTRY_SEPARATOR = ",("
 ASSIGNMENT_LINE = r"^\((\d+),\[(.*),([^,]*)\]\)$"
 
 
@@ -41,8 +43,12 @@ def read_errors(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_errors(spark: SparkSession, path: str) -> DataFrame:
-    """The setup, iterations and error at the head of each whole-result line."""
-    return _matching(spark, path, RUN_LINE).select(
+    """The setup, iterations and error at the head of each whole-result line.
+
+    Such a line holds a whole clustering, so it is never read as one row: files are cut wherever one entry of a list
+    follows another, and a head lies whole in the piece that begins its line.
+    """
+    return _run_pieces(spark, path).filter(F.col("value").rlike(RUN_LINE)).select(
         F.regexp_extract("value", RUN_LINE, 1).cast("int").alias("k"),
         F.regexp_extract("value", RUN_LINE, 2).cast("int").alias("seed"),
         F.regexp_extract("value", RUN_LINE, 3).cast("int").alias("max_iters"),
@@ -52,6 +58,12 @@ def read_run_errors(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _run_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Pieces of whole-result lines, about an entry of a list each; a piece that spans a line end is cut there too."""
+    pieces = spark.read.option("lineSep", ENTRY_SEPARATOR).text(path)
+    return pieces.select(F.explode(F.split("value", "\r?\n")).alias("value"))
+
+
 def read_assignments(spark: SparkSession, path: str) -> DataFrame:
     """``(cluster,[title,artist])`` lines; brackets inside names are kept."""
     return _matching(spark, path, ASSIGNMENT_LINE).select(

@@ -196,3 +196,15 @@ def test_text_functions(spark):
     )
     assert rows(found) == [("x1", "ab", 1, [1, 2, 3]), ("y:2", "c", 0, [4])]
     assert text.parse_integers("5,10") == [5, 10]
+
+
+def test_heads_of_lines_too_long_for_a_row(spark, tmp_path):
+    entries = ",".join(f"({i % 7},Title {i} [live] (x),Ann)" for i in range(400_000))
+    heads = [(5, 9.25), (6, 8.5), (7, 7.75)]
+    lines = [f"(Setup({k},-3,20,1.0E-4),ReadableClustering({k + 1},{e},ListBuffer({entries}),ListBuffer(),ListBuffer((0,ListBuffer(1.0)))))" for k, e in heads]
+    # Runs without entries follow each other in one piece.
+    lines += [f"(Setup({k},1,2,0.0),ReadableClustering(1,0.5,ListBuffer(),ListBuffer(),ListBuffer()))" for k in (8, 9)]
+    (tmp_path / "runs").write_text("\n".join(lines) + "\r\n")
+    want = [(k, -3, 20, 0.0001, k + 1, e) for k, e in heads] + [(k, 1, 2, 0.0, 1, 0.5) for k in (8, 9)]
+    assert rows(results.read_run_errors(spark, str(tmp_path / "runs"))) == sorted(want, key=repr)
+    assert results._run_pieces(spark, str(tmp_path / "runs")).agg(F.max(F.length("value"))).first()[0] < 200
