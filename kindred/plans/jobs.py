@@ -25,9 +25,9 @@ def create_data(
     ``enriched/status=success``) and ``songs_with_playlists`` (text; one line per part of a song's list).
     The JSON is parsed once, and steps go from table to table; text is only for others to read.
     """
-    playlists = materialize(slices.playlists_of(slices.read_slices(spark, slices_path)), "playlists")
+    playlists = materialize(slices.read_playlists(spark, slices_path), "playlists")
     sinks.write_adjacency(playlists.withColumn("part", F.lit(0)), f"{output}/playlists")
-    tracks = slices.tracks_of(slices.read_slices(spark, slices_path))
+    tracks = slices.read_tracks(spark, slices_path)
     unique = materialize(prepare.unique_songs(tracks, ["slice", "pid", "pos"]), "songs")
     sinks.write_unique_songs(unique, f"{output}/songs")
     sinks.write_enriched(prepare.enrich(unique, spark.read.parquet(features_path), FEATURES), f"{output}/enriched")

@@ -277,19 +277,24 @@ WHERE cluster = (SELECT cluster FROM assigned WHERE id = 17) AND id <> 17"""
 _MIXED_MEDOIDS = f"""
 SELECT CAST(cluster AS INTEGER) AS cluster, id, n, CAST(size AS INTEGER) AS playlists FROM m{MIXED_RUN[2]} JOIN sizes USING (id)"""
 
+_PLAYLISTS = f"""
+SELECT l_orderkey AS pid, string_agg(l_partkey::VARCHAR, ',' ORDER BY {TRACK_ORDER}) AS track_ids
+FROM lineitem GROUP BY l_orderkey"""
+_TRACKS = f"""
+SELECT l_orderkey AS pid,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {TRACK_ORDER}) - 1 AS INTEGER) AS pos,
+  l_partkey::VARCHAR AS id, p_name AS title, p_brand AS artist
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
 SQL = {
     "playlist_adjacency": _adjacency(1_000_000),
     "playlist_adjacency_parts": _adjacency(3),
     "adjacency_part_lines": _adjacency(3),
     "adjacency_pairs": "SELECT l_partkey::VARCHAR AS id, l_orderkey AS pid FROM lineitem",
-    "nested_playlists": f"""
-SELECT l_orderkey AS pid, string_agg(l_partkey::VARCHAR, ',' ORDER BY {TRACK_ORDER}) AS track_ids
-FROM lineitem GROUP BY l_orderkey""",
-    "nested_tracks": f"""
-SELECT l_orderkey AS pid,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {TRACK_ORDER}) - 1 AS INTEGER) AS pos,
-  l_partkey::VARCHAR AS id, p_name AS title, p_brand AS artist
-FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "nested_playlists": _PLAYLISTS,
+    "nested_playlists_streamed": _PLAYLISTS,
+    "nested_tracks": _TRACKS,
+    "nested_tracks_streamed": _TRACKS,
     "nested_songs": f"SELECT * FROM ({_SONGS}) WHERE id IN (SELECT l_partkey::VARCHAR FROM lineitem)",
     "dedup_songs": """
 SELECT id, title, artist FROM (

@@ -35,18 +35,27 @@ def adjacency_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def nested_playlists(spark: SparkSession, folder: str) -> DataFrame:
-    sliced = slices.read_slices(spark, tables.written_slices(spark, folder))
-    return slices.playlists_of(sliced).select("pid", joined("track_ids"))
+    found = slices.read_playlists(spark, tables.written_slices(spark, folder))
+    return found.select("pid", joined("track_ids"))
+
+
+def nested_playlists_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every file streamed."""
+    found = slices.read_playlists(spark, tables.written_slices(spark, folder), streamed_bytes=0)
+    return found.select("pid", joined("track_ids"))
 
 
 def nested_tracks(spark: SparkSession, folder: str) -> DataFrame:
-    sliced = slices.read_slices(spark, tables.written_slices(spark, folder))
-    return slices.tracks_of(sliced).drop("slice")
+    return slices.read_tracks(spark, tables.written_slices(spark, folder)).drop("slice")
+
+
+def nested_tracks_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    return slices.read_tracks(spark, tables.written_slices(spark, folder), streamed_bytes=0).drop("slice")
 
 
 def nested_songs(spark: SparkSession, folder: str) -> DataFrame:
-    sliced = slices.read_slices(spark, tables.written_slices(spark, folder))
-    return prepare.unique_songs(slices.tracks_of(sliced), ["slice", "pid", "pos"])
+    tracks = slices.read_tracks(spark, tables.written_slices(spark, folder))
+    return prepare.unique_songs(tracks, ["slice", "pid", "pos"])
 
 
 def dedup_songs(spark: SparkSession, folder: str) -> DataFrame:
@@ -287,6 +296,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         playlist_adjacency, playlist_adjacency_parts, adjacency_part_lines, adjacency_pairs, nested_playlists, nested_tracks, nested_songs,
+        nested_playlists_streamed, nested_tracks_streamed,
         dedup_songs, enrich_success, enrich_failure, missing_songs, song_playlists, song_playlists_parts,
         songs_with_playlists, songs_with_playlists_full, songs_with_playlists_parts, list_decode, mixed_lines,
         song_count, json_props, feature_text_lines, feature_lines, feature_lines_with_playlists, unique_song_lines,

@@ -70,9 +70,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCRATCHES.remove(paths)
-        hadoop, configuration = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-        for path in map(hadoop.Path, paths):
-            path.getFileSystem(configuration).delete(path, True)
+        remove(spark, *paths)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Remove written tables that nothing reads any more."""
+    hadoop, configuration = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    for path in map(hadoop.Path, paths):
+        path.getFileSystem(configuration).delete(path, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -208,3 +209,64 @@ def test_heads_of_lines_too_long_for_a_row(spark, tmp_path):
     want = [(k, -3, 20, 0.0001, k + 1, e) for k, e in heads] + [(k, 1, 2, 0.0, 1, 0.5) for k in (8, 9)]
     assert rows(results.read_run_errors(spark, str(tmp_path / "runs"))) == sorted(want, key=repr)
     assert results._run_pieces(spark, str(tmp_path / "runs")).agg(F.max(F.length("value"))).first()[0] < 200
+
+
+def test_streamed_playlists_are_those_of_whole_files(spark, slice_folder):
+    whole = slices.playlists_of(slices.read_slices(spark, slice_folder))
+    assert rows(slices.read_playlists(spark, slice_folder, 0), "pid", "track_ids") == rows(whole, "pid", "track_ids")
+    tracks = slices.tracks_of(slices.read_slices(spark, slice_folder))
+    assert rows(slices.read_tracks(spark, slice_folder, 0)) == rows(tracks)
+    # Whole files up to the size of the smaller one, the other streamed.
+    size = min(path.stat().st_size for path in Path(slice_folder).iterdir())
+    assert rows(slices.read_playlists(spark, slice_folder, size), "pid", "track_ids") == rows(whole, "pid", "track_ids")
+
+
+@pytest.mark.parametrize("step", [1, 2, 7, 10**6])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_playlists_are_cut_wherever_pieces_end(step, indent):
+    playlists = [
+        {"pid": 0, "name": 'a } " { [ \\ "playlists": [', "tracks": [{"track_uri": "x}{", "more": [[{"a": {}}], []]}]},
+        {"pid": 1, "tracks": []}, {}, {"name": "\\\\", "pid": 2},
+    ]
+    text = json.dumps({"before": [{"pid": 9}], "info": {"playlists": [{"pid": 8}]}, "playlists": playlists, "after": [{"pid": 7}], "z": "playlists"}, indent=indent)
+    cutter, found = slices.PlaylistCutter(), []
+    # Pieces end behind a brace in the files; here they end anywhere but inside an escape.
+    at = 0
+    while at < len(text):
+        end = at + step
+        while end < len(text) and text[at:end].endswith("\\"):
+            end += 1
+        found += cutter.feed(text[at:end])
+        at = end
+    cutter.end("this")
+    assert [json.loads(one) for one in found] == playlists
+    cutter = slices.PlaylistCutter()
+    list(cutter.feed(text[: text.index('"after"')].rstrip()[:-2]))
+    with pytest.raises(ValueError):
+        cutter.end("this")
+
+
+def test_a_file_of_many_times_the_usual_size(spark, tmp_path):
+    usual, n = 40, 4_000
+    one = [{"pid": i // 2 if i < 20 else i, "tracks": [track(f"{i:021d}{j}", f"T}} {j}", "Ann") for j in range(5)]} for i in range(n)]
+    (tmp_path / "big.json").write_text(json.dumps({"info": {}, "playlists": one}, indent=1))
+    (tmp_path / "usual.json").write_text(json.dumps({"playlists": [{**p, "pid": n + p["pid"]} for p in one[:usual]]}))
+    limit = 200_000
+    found = slices.read_playlists(spark, str(tmp_path), limit)
+    assert (tmp_path / "big.json").stat().st_size > 10 * limit > 0
+    whole = slices.playlists_of(slices.read_slices(spark, str(tmp_path)))
+    assert rows(found, "pid", "track_ids") == rows(whole, "pid", "track_ids")
+    places = slices.stream_playlists(spark, str(tmp_path), limit)
+    assert rows(places, "place") == sorted([(i,) for i in range(n)], key=repr)
+    # No row that is shuffled or reaches a worker holds more than a track.
+    pieces = spark.read.option("lineSep", slices.PIECE_END).text(str(tmp_path))
+    assert pieces.agg(F.max(F.length("value"))).first()[0] < 400
+
+
+def test_large_files_are_not_read_whole_and_broken_ones_fail(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"playlists": [{"pid": 1, "tracks": []}]}')
+    (tmp_path / "b.json").write_text('{"playlists": [{"pid": 2, "tracks": []}, ' + " " * 500)
+    # The broken file is beyond the size, so the reader of whole files never sees it.
+    assert slices.read_slices(spark, str(tmp_path), 300).count() == 1
+    with pytest.raises(Exception, match="ends inside"):
+        slices.read_playlists(spark, str(tmp_path), 300).collect()
