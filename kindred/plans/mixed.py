@@ -219,25 +219,36 @@ def cluster_with_lists(points: DataFrame, k: int, seed: int, max_iters: int, eps
         drawn = initial_centers(working.select("id", "features"), setup).select("cluster", "id")
         medoids = materialize(working.select("id", "features", "items").join(drawn, "id"), "medoids")
         log: list[tuple] = []
-        while not log or (log[-1][3] > epsilon and len(log) < max_iters):
-            assigned = nearest_mixed(working, medoids, weight, model_bytes)
-            members = assigned.select("id", "features", "items", "cluster")
-            moved = mixed_medoids(members, weight, model_bytes, candidates)
-            log.append((0, len(log) + 1, moved.count(), _move(medoids, moved, weight), _error(moved)))
-            medoids = moved
-        centers = medoids.select(F.lit(0).alias("run_id"), "cluster", "n", "id", F.col("features").alias("center"), "items")
-        centers = written(centers, paths[0])
-        place = medoids.select("cluster", F.col("features").alias("_center"), F.col("items").alias("_items"))
-        place = place.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        gap = mixed_distance((F.col("features"), F.col("items")), (F.col("_center"), F.col("_items")), weight)
-        salted = assigned.drop("distance").withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-        kept = [name for name in points.columns if name not in ("features", "items")]
-        placed = salted.join(place, ["cluster", "_salt"]).select(*kept, F.lit(0).alias("run_id"), "cluster", gap.alias("distance"))
-        assignments = written(placed, paths[1])
+        done = False
+        while not done:
+            path = fresh_path(spark, "medoids")
+            # What an iteration writes on the way goes with it; only its medoids stay for the next.
+            with scratch(spark):
+                assigned = nearest_mixed(working, medoids, weight, model_bytes)
+                members = assigned.select("id", "features", "items", "cluster")
+                moved = written(mixed_medoids(members, weight, model_bytes, candidates), path)
+                log.append((0, len(log) + 1, moved.count(), _move(medoids, moved, weight), _error(moved)))
+                medoids, done = moved, log[-1][3] <= epsilon or len(log) >= max_iters
+                if done:
+                    centers, assignments = _write_results(points, assigned, medoids, weight, paths)
     runs = spark.createDataFrame([(0, k, seed, max_iters, float(epsilon), len(log), log[-1][3], log[-1][4])], _RUNS)
     return Clustering(runs, centers, assignments, spark.createDataFrame(log, _HISTORY))
 
 
+def _write_results(
+    points: DataFrame, assigned: DataFrame, medoids: DataFrame, weight: float, paths: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The tables of centers and assignments, with the distance to the updated medoids."""
+    centers = medoids.select(F.lit(0).alias("run_id"), "cluster", "n", "id", F.col("features").alias("center"), "items")
+    place = medoids.select("cluster", F.col("features").alias("_center"), F.col("items").alias("_items"))
+    place = place.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    gap = mixed_distance((F.col("features"), F.col("items")), (F.col("_center"), F.col("_items")), weight)
+    salted = assigned.drop("distance").withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    kept = [name for name in points.columns if name not in ("features", "items")]
+    placed = salted.join(place, ["cluster", "_salt"]).select(*kept, F.lit(0).alias("run_id"), "cluster", gap.alias("distance"))
+    return written(centers, paths[0]), written(placed, paths[1])
+
+
 def _move(before: DataFrame, after: DataFrame, weight: float) -> float:
     """The total distance between medoids before and after; infinite if a cluster was lost."""
     now = after.select("cluster", F.col("features").alias("_now"), F.col("items").alias("_items"))

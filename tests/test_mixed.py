@@ -56,15 +56,15 @@ def catalog(draw, n):
     return table
 
 
-@pytest.mark.parametrize("weight, model_bytes, candidates, hot_rows", [(0.5, 64 << 20, 16, 100_000), (1.0, 400, 1, 5), (0.0, 64 << 20, 2, 20)])
-def test_runs_are_those_of_all_pairs(spark, monkeypatch, weight, model_bytes, candidates, hot_rows):
+@pytest.mark.parametrize("weight, iterations, model_bytes, candidates, hot_rows", [(0.5, 2, 64 << 20, 16, 100_000), (1.0, 1, 400, 1, 5)])
+def test_runs_are_those_of_all_pairs(spark, monkeypatch, weight, iterations, model_bytes, candidates, hot_rows):
     monkeypatch.setattr(joins.join_counted, "__defaults__", (hot_rows,))
     table = catalog(random.Random(4), 90)
     found = mixed.cluster_with_lists(
-        spark.createDataFrame(table, SCHEMA).repartition(3), 5, 3, 2, weight=weight, model_bytes=model_bytes, candidates=candidates
+        spark.createDataFrame(table, SCHEMA).repartition(3), 5, 3, iterations, weight=weight, model_bytes=model_bytes, candidates=candidates
     )
     points = {i: (x, {item for item in items or [] if item is not None}) for i, x, items, _ in table}
-    placed, medoids, history = brute(points, 5, 3, 2, weight)
+    placed, medoids, history = brute(points, 5, 3, iterations, weight)
     assert {r.id: r.cluster for r in found.assignments.collect()} == placed
     assert {r.cluster: r.id for r in found.centers.collect()} == medoids
     for row, want in zip(sorted(found.history.collect(), key=lambda r: r.iter), history, strict=True):
