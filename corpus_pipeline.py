@@ -2,7 +2,8 @@
 
 Documents that the quality classifier or the quality rules reject go, of every group of near-duplicates one stays,
 documents that hold a passage of the benchmark go, and what is left is encoded. A stage's result is written to
-the shared folder as Parquet and read back, so a lost executor costs at most a stage.
+the shared folder as Parquet and read back, so a lost executor costs at most a stage. What a stage writes on the way goes
+with its end, its result once the next stage has one.
 """
 
 from __future__ import annotations
@@ -11,18 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kindred.llm import bpe, cnn, decontaminate, minhash, quality_rules
 from kindred.llm.queries import byte_bpe, read
-from kindred.session import materialize
+from kindred.session import fresh_path, remove, scratch, written
 
 #: The pipeline has operators that SQL cannot express.
 ORACLE_SQL = None
 
 #: Rows of a batch that goes to a Python worker at most: with long texts this bounds what a worker and the buffers beside
-#: it hold. The setting of the session is put to it, as a stage is worked out after its function has returned.
+#: it hold. The setting of the session is put to it, as a stage is worked out after its function has returned; ``run``
+#: sets it back.
 BATCH_ROWS = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +65,15 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the last stage makes of ``documents``."""
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    docs, before, setting = read(spark, sf_dir, "documents"), None, spark.conf.get(BATCH_SETTING)
+    try:
+        for name, stage in STAGES:
+            path = fresh_path(spark, name)
+            with scratch(spark):
+                docs = written(stage(spark, docs, sf_dir), path)
+            if before is not None:
+                remove(spark, before)
+            before = path
+    finally:
+        spark.conf.set(BATCH_SETTING, setting)
     return docs
