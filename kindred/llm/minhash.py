@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kindred.llm.components import components
+from kindred.llm.key_filter import key_map, named, without
 from kindred.llm.texts import NOT_SPACE, map_blocks, words_of
-from kindred.session import materialize
+from kindred.session import fresh_path, materialize, scratch, written
 
 BANDS = 25
 BAND_ROWS = 5
@@ -41,8 +42,6 @@ BITS = 4
 #: Of one bucket and of one neighbourhood, what a task compares at a time: classes, and shingles.
 BUCKET_ROWS = 4_096
 BLOCK_SHINGLES = 1_000_000
-#: Hash values of ids; the table of those that are wanted is broadcast.
-ID_BUCKETS = 2**20
 
 _draw = np.random.default_rng(20240229)
 _MULTIPLY = _draw.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -296,14 +295,11 @@ def _linked(sets: list[np.ndarray], numerator: int) -> np.ndarray:
 def _sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """``(root, class, shingles)`` of wanted classes ``(root, class, rep)``, from the text of row ``rep``.
 
-    ``doc_id`` should tell apart rows of different texts, or all rows of one id meet all its classes. Texts whose id has a hash value that no wanted one has are left out in the scan.
+    ``doc_id`` should tell apart rows of different texts, or all rows of one id meet all its classes. Texts that no class wants are left out in the scan.
     """
-    bucket = lambda column: F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS))
     wanted = materialize(wanted, "wanted-classes")
-    near = materialize(wanted.select(bucket("rep").alias("_bucket")).distinct(), "id-buckets")
-    texts = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_body"), bucket(docs[doc_id]).alias("_bucket"))
-    # At most ID_BUCKETS numbers.
-    texts = texts.join(F.broadcast(near), "_bucket", "left_semi")
+    near = named(docs, key_map(wanted, "rep"), docs[doc_id])
+    texts = near.select(near[doc_id].alias("_id"), near[text].alias("_body"))
     joined = wanted.join(texts, F.col("rep").eqNullSafe(F.col("_id"))).select("root", "class", "_body")
 
     def work(block: pa.RecordBatch) -> list[pa.Array]:
@@ -328,20 +324,25 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def _row_components(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float) -> DataFrame:
     """``(key, n_shingles, least)`` for every row: ``least`` is the least key reachable, null if its set is empty."""
-    keyed = _keyed(docs, doc_id, text)
-    signed = materialize(signatures(keyed, ["key"], "text", size), "signatures")
-    full = signed.filter("n_shingles > 0")
-    same = F.first(F.struct("bands", *_SIGNATURE)).alias("same")
-    classes = materialize(full.groupBy("class").agg(F.min("key").alias("rep"), same).select("class", "rep", "same.*"), "classes")
-    neighbourhoods = components(candidate_edges(classes, threshold), "neighbourhoods")
-    wanted = neighbourhoods.select("root", F.col("node").alias("class")).join(classes.select("class", "rep"), "class")
-    sets = materialize(_sets_of(keyed, wanted, "key", "text", size), "shingle-sets")
-    roots = components(exact_links(sets, threshold), "links")
-    own = classes.select("class", "rep").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    own = own.select("class", "rep", F.coalesce("root", "class").alias("root"))
-    least = own.groupBy("root").agg(F.min("rep").alias("least"))
-    of_class = own.join(least, "root").select("class", "least")
-    return signed.select("key", "n_shingles", "class").join(of_class, "class", "left").select("key", "n_shingles", "least")
+    path = fresh_path(docs.sparkSession, "row-components")
+    # Only the result stays written.
+    with scratch(docs.sparkSession):
+        keyed = _keyed(docs, doc_id, text)
+        signed = materialize(signatures(keyed, ["key"], "text", size), "signatures")
+        full = signed.filter("n_shingles > 0")
+        same = F.first(F.struct("bands", *_SIGNATURE)).alias("same")
+        classes = full.groupBy("class").agg(F.min("key").alias("rep"), same).select("class", "rep", "same.*")
+        classes = materialize(classes, "classes")
+        neighbourhoods = components(candidate_edges(classes, threshold), "neighbourhoods")
+        wanted = neighbourhoods.select("root", F.col("node").alias("class")).join(classes.select("class", "rep"), "class")
+        sets = materialize(_sets_of(keyed, wanted, "key", "text", size), "shingle-sets")
+        roots = components(exact_links(sets, threshold), "links")
+        own = classes.select("class", "rep").join(roots.withColumnRenamed("node", "class"), "class", "left")
+        own = own.select("class", "rep", F.coalesce("root", "class").alias("root"))
+        least = own.groupBy("root").agg(F.min("rep").alias("least"))
+        of_class = own.join(least, "root").select("class", "least")
+        found = signed.select("key", "n_shingles", "class").join(of_class, "class", "left")
+        return written(found.select("key", "n_shingles", "least"), path)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
@@ -373,12 +374,13 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
         F.first("goes").alias("goes"), (F.count(F.lit(1)) > 1).alias("several"), F.first("single").alias("single")
     )
     # Those that go are fewer than those that stay; of those that stay only the repeated ones matter.
-    marked = keys.filter("goes OR (several AND NOT single)").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "goes")
-    marked = materialize(marked, "marked-rows")
-    own = F.unhex(F.md5(F.coalesce(docs[text], F.lit(""))))
-    same = docs[doc_id].eqNullSafe(F.col("_id")) & (own == F.col("_digest"))
-    rest = docs.join(marked.select("_id", "_digest"), same, "left_anti")
-    repeated = marked.filter("NOT goes").select("_id", "_digest")
+    marked = materialize(keys.filter("goes OR (several AND NOT single)").select("id", "digest", "goes"), "marked-rows")
+    digest = F.unhex(F.md5(F.coalesce(docs[text], F.lit(""))))
+    map_ = key_map(marked, "id", "digest")
+    rest = without(docs, marked, [docs[doc_id], digest], ["id", "digest"], map_)
+    repeated = marked.filter("NOT goes")
     if repeated.isEmpty():
         return rest
-    return rest.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([doc_id, text]))
+    near = named(docs, map_, docs[doc_id], digest)
+    same = docs[doc_id].eqNullSafe(repeated["id"]) & (digest == repeated["digest"])
+    return rest.unionByName(near.join(repeated, same, "left_semi").dropDuplicates([doc_id, text]))

@@ -148,12 +148,17 @@ def first_failed(rules: list[Rule], known: Mapping[str, Column]) -> Column:
     return cascade
 
 
+def _cascade(rules: list[Rule], text: Column) -> Column:
+    """The first rule that rejects a text, whose words are split once for all rules."""
+    return let(words(text), lambda parts: first_failed(rules, measures(text, parts)))
+
+
 def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``failed`` (the first rule that rejects, in the cascade's order) and ``kept``."""
     rules = RULES if rules is None else rules
     order = ordered_rules(rules, estimates(docs, rules, text, sample_rows))
     others = [docs[name] for name in docs.columns if name not in ("failed", "kept")]
-    judged = docs.select(*others, first_failed(order, measures(docs[text])).alias("failed"))
+    judged = docs.select(*others, _cascade(order, docs[text]).alias("failed"))
     return judged.withColumn("kept", F.col("failed").isNull())
 
 
@@ -161,17 +166,21 @@ def passing(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text"
     """The rows of ``docs`` that no rule rejects, as they are."""
     rules = RULES if rules is None else rules
     order = ordered_rules(rules, estimates(docs, rules, text, sample_rows))
-    return docs.filter(first_failed(order, measures(docs[text])).isNull())
+    return docs.filter(_cascade(order, docs[text]).isNull())
 
 
 def judge_with_measures(docs: DataFrame, keep: list[str], rules: list[Rule] | None = None, text: str = "text",
                         sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``keep``, every measure, ``failed`` and ``kept``: the cascade over measures that are wanted anyway."""
+    """``keep``, every measure, ``failed`` and ``kept``: the cascade over measures that are wanted anyway.
+
+    Kept columns named as one of those added are replaced.
+    """
     rules = RULES if rules is None else rules
     order = ordered_rules(rules, estimates(docs, rules, text, sample_rows))
-    split = docs.select(*keep, docs[text].alias("_text"), words(docs[text]).alias("_words"))
-    known = measures(F.col("_text"), F.col("_words"))
-    measured = split.select(*keep, *[value.alias(name) for name, value in known.items()])
-    named = {name: F.col(name) for name in known}
-    judged = measured.withColumn("failed", first_failed(order, named))
-    return judged.withColumn("kept", F.col("failed").isNull())
+    given = F.struct(*[docs[name].alias(name) for name in keep]) if keep else F.lit(None)
+    split = docs.select(given.alias("given"), docs[text].alias("text"), words(docs[text]).alias("words"))
+    known = measures(F.col("text"), F.col("words"))
+    measured = split.select("given", F.struct(*[value.alias(name) for name, value in known.items()]).alias("m"))
+    judged = measured.withColumn("failed", first_failed(order, {name: F.col("m")[name] for name in known}))
+    others = [F.col("given")[name].alias(name) for name in keep if name not in (*known, "failed", "kept")]
+    return judged.select(*others, "m.*", "failed", F.col("failed").isNull().alias("kept"))

@@ -75,7 +75,7 @@ def words_of(texts: pa.Array, in_word: np.ndarray) -> Words:
     return Words(values, np.searchsorted(starts, edges), starts, edges)
 
 
-def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterable[pa.RecordBatch], column: str | int = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into blocks of about ``limit`` bytes of text, a row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -87,6 +87,11 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             at = after
 
 
+def release() -> None:
+    """Give back what Arrow keeps at hand for later: workers outlive their tasks, and others share their machine."""
+    pa.default_memory_pool().release_unused()
+
+
 def map_blocks(
     docs: DataFrame,
     keep: list[str],
@@ -97,15 +102,21 @@ def map_blocks(
 ) -> DataFrame:
     """Work out ``fields`` (names and types, as SQL writes them) from a text column, block by block, beside the columns in ``keep``.
 
-    ``work`` gets a block whose column ``_text`` is the text, and gives one array for each field.
-    Only the named columns are read, so other columns of ``docs`` cannot clash.
+    ``work`` gets a block of the one column ``_text`` and gives one array for each field.
+    Only the named columns are read, so other columns of ``docs`` cannot clash; kept ones may have any name.
     """
     schema = StructType([docs.schema[name] for name in keep] + StructType.fromDDL(fields).fields)
     kept = len(keep)
 
     def run(batches):
-        for block in blocks(batches, "_text", limit):
-            columns = [block.column(i) for i in range(kept)] + work(block)
+        for block in blocks(batches, kept, limit):
+            texts = pa.RecordBatch.from_arrays([block.column(kept)], names=["_text"])
+            columns = [block.column(i) for i in range(kept)] + work(texts)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        release()
 
-    return docs.select(*keep, docs[column].alias("_text")).mapInArrow(run, schema)
+    # A name that no kept column has.
+    name = "_text"
+    while name in keep:
+        name += "_"
+    return docs.select(*[docs[kept_name] for kept_name in keep], docs[column].alias(name)).mapInArrow(run, schema)
