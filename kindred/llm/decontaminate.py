@@ -8,7 +8,11 @@ text are never next to those of another. A second folder names the text of each
 A search takes from every window of an item its rarest terms (by the counts in the index), subtracts each term's
 place in the item from its places in the texts, and keeps the alignments on which all rare terms of some window
 meet. The few texts that have one are read again to compare the other words; runs of words that all agree are exact
-occurrences. Which texts these are is a table of ``BUCKETS`` rows at most, so the others are left out in the scan.
+occurrences. Which texts these are is a map of bounded size (:mod:`kindred.llm.key_filter`), so the others are left
+out in the scan.
+
+Proximity matches are found on the same index: around every place of an item's rarest term the words of the text are
+cut out, and the item is near if all its other terms are among them, in any order.
 
 Search tables are small beside the index, and are written before they are joined, so that Spark knows their size
 and joins them without moving the index if they are small enough for that.
@@ -30,19 +34,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kindred.llm.texts import LETTERS, blocks, words_of
-from kindred.session import fresh_path, materialize
+from kindred.llm.key_filter import key_map, named, without
+from kindred.llm.texts import LETTERS, blocks, release, words_of
+from kindred.session import fresh_path, materialize, scratch, written
 
 WINDOW = 10
 #: How many of a window's terms have to meet before its other terms are looked up.
 RARE_TERMS = 2
+#: How far from a place of an item's rarest term its other terms may stand, in words, for the item to be near.
+WITHIN = 50
 #: Bytes of text of a segment.
 SEGMENT_BYTES = 4_000_000
 _TEXT = 2**32
 #: Words of a text that are cut out for its alignments in one row, about.
 ALIGNED_WORDS = 200_000
-#: Hash values of texts to read again; the table of those that are wanted is broadcast.
-BUCKETS = 2**20
 
 
 class Index(NamedTuple):
@@ -100,6 +105,7 @@ def build_index(docs: DataFrame, key: str, text: str = "text", segment_bytes: in
                      none(pa.binary(), size), none(pa.int64(), size)],
                     names=schema.names,
                 )
+        release()
 
     indexed = docs.select(key, docs[text].alias("_text")).mapInArrow(segments, schema)
     # Both kinds of rows come from one pass; each has a folder of its own.
@@ -195,14 +201,9 @@ def alignments(index: Index, items: DataFrame, window: int = WINDOW, rare: int =
 
 def _texts_again(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
     """``(key, digest, words)`` of the wanted ``(key, digest)``, each once."""
-    bucket = lambda column: F.pmod(F.xxhash64(column), F.lit(BUCKETS))
-    buckets = materialize(wanted.select(bucket("key").alias("_bucket")).distinct(), "buckets")
-    body = F.coalesce(docs[text], F.lit(""))
-    # At most BUCKETS numbers.
-    near = docs.select(docs[key].alias("_key"), body.alias("_text"), bucket(docs[key]).alias("_bucket")).join(
-        F.broadcast(buckets), "_bucket", "left_semi"
-    )
-    near = near.select("_key", F.unhex(F.md5("_text")).alias("_digest"), "_text")
+    digest = F.unhex(F.md5(F.coalesce(docs[text], F.lit(""))))
+    near = named(docs, key_map(wanted, "key", "digest"), docs[key], digest)
+    near = near.select(docs[key].alias("_key"), digest.alias("_digest"), F.coalesce(docs[text], F.lit("")).alias("_text"))
     same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("digest") == F.col("_digest"))
     once = near.join(wanted, same).groupBy("key", "digest").agg(F.first("_text").alias("_text"))
     return once.select("key", "digest", words(F.col("_text")).alias("words"))
@@ -220,24 +221,26 @@ def _alignment_rows(named: DataFrame, aligned_words: int) -> DataFrame:
     )
 
 
-def phrase_matches(index: Index, docs: DataFrame, key: str, text: str, items: DataFrame, window: int = WINDOW,
-                   rare: int = RARE_TERMS) -> DataFrame:
-    """Exact occurrences: ``(segment, number, item, word, length)``, runs of item words that hold a window.
-
-    ``word`` is where the run begins in the text. An item of fewer words than a window has to occur as a whole.
-    """
-    found = alignments(index, items, window, rare)
+def _cut_out(index: Index, docs: DataFrame, key: str, text: str, found: DataFrame) -> DataFrame:
+    """Alignments ``(segment, number, item, shift, size)`` with ``there``, the words of the text that they cover."""
     named = found.join(index.texts.select("segment", "number", "key", "digest"), ["segment", "number"])
     named = materialize(named, "named-alignments")
     texts = _texts_again(docs, key, text, named.select("key", "digest").distinct())
     per_text = _alignment_rows(named, ALIGNED_WORDS)
     same = per_text["key"].eqNullSafe(texts["key"]) & (per_text["digest"] == texts["digest"])
     # Only the words of an alignment go on, not the text once for each.
-    cut = per_text.join(texts, same).select(
-        F.explode(F.transform("alignments", lambda a: F.struct(
-            a.alias("at"), F.slice("words", F.greatest(a["shift"], F.lit(0)) + 1, a["size"] + F.least(a["shift"], F.lit(0))).alias("there"),
-        ))).alias("cut")
-    ).select("cut.at.*", "cut.there")
+    covered = lambda a: F.slice("words", F.greatest(a["shift"], F.lit(0)) + 1, a["size"] + F.least(a["shift"], F.lit(0)))
+    both = F.transform("alignments", lambda a: F.struct(a.alias("at"), covered(a).alias("there")))
+    return per_text.join(texts, same).select(F.explode(both).alias("cut")).select("cut.at.*", "cut.there")
+
+
+def phrase_matches(index: Index, docs: DataFrame, key: str, text: str, items: DataFrame, window: int = WINDOW,
+                   rare: int = RARE_TERMS) -> DataFrame:
+    """Exact occurrences: ``(segment, number, item, word, length)``, runs of item words that hold a window.
+
+    ``word`` is where the run begins in the text. An item of fewer words than a window has to occur as a whole.
+    """
+    cut = _cut_out(index, docs, key, text, alignments(index, items, window, rare))
     wanted = materialize(items.groupBy("item").agg(F.first("words").alias("words")), "item-words")
     skipped = F.greatest(-F.col("shift"), F.lit(0))
     equal = F.filter(
@@ -258,33 +261,40 @@ def phrase_matches(index: Index, docs: DataFrame, key: str, text: str, items: Da
     )
 
 
-def proximity_matches(index: Index, items: DataFrame, within: int) -> DataFrame:
-    """Places of an item's rarest term near which all its other terms stand: ``(segment, item, place)``.
+def proximity_matches(index: Index, docs: DataFrame, key: str, text: str, items: DataFrame, within: int = WITHIN) -> DataFrame:
+    """Places of an item's rarest term near which all its other terms stand: ``(segment, number, item, word)``.
 
-    Near is at most ``within`` words away in the same text, in any order. Places are put into strips of
-    ``within`` words, so that a place only meets those of its own strip and the two beside it.
+    Near is at most ``within`` words away in the same text, in any order. Of terms equally rare the first in the item
+    counts. An item with a term that no text has is near nowhere.
     """
-    terms = materialize(_flat(items).groupBy("item", "term").agg(F.min("offset").alias("offset")), "item-terms")
-    counts = materialize(term_counts(index, terms), "term-counts")
+    terms = materialize(_flat(items).groupBy("item", "term").agg(F.min("offset").alias("offset")), "near-terms")
+    counts = materialize(term_counts(index, terms), "near-counts")
     known = terms.join(counts, "term", "left").fillna(0, ["n"])
-    anchors = known.groupBy("item").agg(
-        F.min_by("term", F.struct("n", "offset")).alias("anchor"), F.count(F.lit(1)).alias("terms")
+    anchors = known.groupBy("item").agg(F.min_by("term", F.struct("n", "offset")).alias("term"), F.min("n").alias("least"))
+    anchors = materialize(anchors.filter("least > 0").select("item", "term"), "anchors")
+    places = index.terms.join(anchors, "term").select("segment", "item", F.explode("places").alias("place"))
+    word = F.col("place").bitwiseAND(_TEXT - 1).cast("int")
+    around = places.select(
+        "segment", F.shiftright("place", 32).cast("int").alias("number"), "item", (word - within).alias("shift"), F.lit(2 * within + 1).alias("size")
     )
-    marked = materialize(known.join(anchors, "item").select("item", "term", "terms", (F.col("term") == F.col("anchor")).alias("is_anchor")), "near-terms")
-    places = index.terms.join(marked, "term").select("segment", "item", "term", "terms", "is_anchor", F.explode("places").alias("place"))
-    strip = F.floor(F.col("place") / within)
-    begins = places.filter("is_anchor").select("segment", "item", "terms", F.col("place").alias("at"), F.explode(
-        F.array(strip - 1, strip, strip + 1)).alias("strip"))
-    others = places.filter("NOT is_anchor").select("segment", "item", "term", "place", strip.alias("strip"))
-    near = begins.join(others, ["segment", "item", "strip"]).filter(F.abs(F.col("place") - F.col("at")) <= within)
-    complete = near.groupBy("segment", "item", "at", "terms").agg(F.countDistinct("term").alias("met"))
-    alone = begins.filter("terms = 1").select("segment", "item", "at").distinct()
-    return complete.filter("met = terms - 1").select("segment", "item", "at").unionByName(alone).withColumnRenamed("at", "place")
+    cut = _cut_out(index, docs, key, text, materialize(around, "around-anchors"))
+    wanted = materialize(items.groupBy("item").agg(F.array_distinct(F.first("words")).alias("words")), "item-sets")
+    near = cut.join(wanted, "item").filter(F.size(F.array_except("words", "there")) == 0)
+    return near.select("segment", "number", "item", (F.col("shift") + within).cast("bigint").alias("word"))
 
 
 def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, window: int,
-            segment_bytes: int) -> DataFrame:
-    """The rows of ``index.texts`` with ``n_hit`` and ``ids``, which are null where nothing occurs."""
+            segment_bytes: int, within: int | None = None) -> DataFrame:
+    """``(key, digest, n_words, n_hit, ids, n_near)`` of every row, the last three null where nothing occurs; without
+    ``within`` there is no search for what is near."""
+    path = fresh_path(docs.sparkSession, "judged")
+    # The index and all search tables go once this is written.
+    with scratch(docs.sparkSession):
+        return written(_hits(docs, items, doc_id, text, item_id, item_text, window, segment_bytes, within), path)
+
+
+def _hits(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, window: int,
+          segment_bytes: int, within: int | None) -> DataFrame:
     index = build_index(docs, doc_id, text, segment_bytes)
     searched = search_terms(items, item_id, item_text)
     placed = materialize(phrase_matches(index, docs, doc_id, text, searched, window), "matches")
@@ -296,21 +306,27 @@ def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id:
     named = placed.select("segment", "number", "item").distinct().join(ids, "item")
     n_items = named.groupBy("segment", "number").agg(F.sort_array(F.collect_set("id")).alias("ids"))
     hits = n_hit.join(n_items, ["segment", "number"], "left")
-    return index.texts.join(hits, ["segment", "number"], "left")
+    found = index.texts.join(hits, ["segment", "number"], "left")
+    if within is None:
+        return found.select("key", "digest", "n_words", "n_hit", "ids", F.lit(None).cast("bigint").alias("n_near"))
+    near = proximity_matches(index, docs, doc_id, text, searched, within).select("segment", "number", "item").distinct()
+    n_near = near.join(ids, "item").groupBy("segment", "number").agg(F.countDistinct("id").alias("n_near"))
+    return found.join(n_near, ["segment", "number"], "left").select("key", "digest", "n_words", "n_hit", "ids", "n_near")
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """One row per row of ``docs``: ``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``.
+                  item_text: str = "text", window: int = WINDOW, segment_bytes: int = SEGMENT_BYTES, within: int = WITHIN) -> DataFrame:
+    """One row per row of ``docs``: ``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near)``.
 
-    ``n_hit`` counts words inside any occurrence of a window, ``n_items`` the item ids with one.
+    ``n_hit`` counts words inside any occurrence of a window, ``n_items`` the item ids with one, ``n_near`` those with a
+    proximity match, which by itself contaminates nothing.
     """
-    judged = _judged(docs, items, doc_id, text, item_id, item_text, window, segment_bytes)
+    judged = _judged(docs, items, doc_id, text, item_id, item_text, window, segment_bytes, within)
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     return judged.select(
         F.col("key").alias(doc_id), "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.size(ids).cast("bigint").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
     )
 
 
@@ -318,6 +334,6 @@ def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     """The rows of ``docs`` without an occurrence; a row goes only for its own text, whatever rows share its id."""
     hit = _judged(docs, items, doc_id, text, "item_id", "text", WINDOW, SEGMENT_BYTES).filter("n_hit > 0")
     # Written, so that Spark knows how few they are.
-    hit = materialize(hit.select(F.col("key").alias("_hit"), F.col("digest").alias("_hit_digest")).distinct(), "contaminated-texts")
+    hit = materialize(hit.select("key", "digest").distinct(), "contaminated-texts")
     own = F.unhex(F.md5(F.coalesce(docs[text], F.lit(""))))
-    return docs.join(hit, docs[doc_id].eqNullSafe(F.col("_hit")) & (own == F.col("_hit_digest")), "left_anti")
+    return without(docs, hit, [docs[doc_id], own], ["key", "digest"])

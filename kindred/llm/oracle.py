@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kindred.llm.decontaminate import WINDOW
+from kindred.llm.decontaminate import WINDOW, WITHIN
 from kindred.llm.sharding import SLOTS_PER_SHARD, prime_from
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,10 +76,21 @@ found AS MATERIALIZED (SELECT r, i, n, item_id FROM grams JOIN sought USING (n,
 hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
 named AS (
   SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY r)
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY r),
+counts AS (SELECT term, count(*) AS n FROM (SELECT unnest(w) AS term FROM d) GROUP BY term),
+anchors AS MATERIALIZED (
+  SELECT i, item_id, s, min_by(term, {{'n': coalesce(n, 0), 'place': list_position(w, term)}}) AS term FROM (
+    SELECT r AS i, item_id, w, list_distinct(w) AS s, unnest(list_distinct(w)) AS term FROM items) LEFT JOIN counts USING (term)
+  GROUP BY i, item_id, s HAVING min(coalesce(n, 0)) > 0),
+places AS (
+  SELECT r, w, p, term FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM anchors)),
+near AS (
+  SELECT r, count(DISTINCT CAST(item_id AS VARCHAR)) AS n_near FROM places JOIN anchors USING (term)
+  WHERE list_has_all(w[greatest(1, p - {WITHIN}):p + {WITHIN}], s) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (r) LEFT JOIN named USING (r)"""
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN hits USING (r) LEFT JOIN named USING (r) LEFT JOIN near USING (r)"""
 
 WARC = """
 SELECT page_id, payload_bytes, payload_digest,

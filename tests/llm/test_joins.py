@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from llm_fixtures import documents, odd, table  # noqa: F401
 
 import corpus_pipeline
-from kindred.llm import cnn, components, decontaminate, gru, lm, minhash, queries, warc
+from kindred.llm import cnn, components, decontaminate, gru, key_filter, lm, minhash, queries, warc
 
 FOLDER = "/root/testdata/sf0.001"
 LETTER_WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -203,7 +203,7 @@ def test_hits_are_those_of_brute_force(spark, documents, odd, table, segment_byt
     docs = documents.select("doc_id", "text").unionByName(table(extra).select("doc_id", "text")).unionByName(
         odd.select((odd.doc_id + 7_000).alias("doc_id"), "text"))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = Counter(tuple(r) for r in decontaminate.contamination(docs, bench, segment_bytes=segment_bytes).collect())
+    found = Counter(tuple(r) for r in decontaminate.contamination(docs, bench, segment_bytes=segment_bytes).drop("n_near").collect())
     assert found == Counter((r.doc_id, *brute_hits(r.text, items)) for r in docs.collect())
     assert any(r[-1] for r in found)
 
@@ -220,7 +220,7 @@ def test_alignments_of_one_text_are_spread_over_rows(spark, table, monkeypatch):
         return found
 
     monkeypatch.setattr(decontaminate, "_alignment_rows", watched)
-    found = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string")).drop("n_near").collect()
     assert Counter(tuple(r) for r in found) == Counter((r.doc_id, *brute_hits(r.text, items)) for r in docs.collect())
     assert len(sizes) > 20 and max(sizes) < 4 * 240 < sum(sizes)
 
@@ -244,9 +244,10 @@ def test_proximity(spark, table):
     docs = table([(1, "alpha x x beta"), (2, "beta x x x x x alpha"), (3, "alpha"), (4, "Beta, alpha! gamma")])
     index = decontaminate.build_index(docs, "doc_id")
     items = decontaminate.search_terms(spark.createDataFrame([(1, "alpha beta")], "item_id long, text string"), "item_id", "text")
-    near = decontaminate.proximity_matches(index, items, 3)
-    ids = near.withColumn("number", minhash.F.shiftright("place", 32).cast("int")).join(index.texts, ["segment", "number"])
-    assert sorted({r.key for r in ids.collect()}) == [1, 4]
+    near = decontaminate.proximity_matches(index, docs, "doc_id", "text", items, 3).join(index.texts, ["segment", "number"])
+    assert sorted((r.key, r.word) for r in near.collect()) == [(1, 3), (4, 0)]
+    again = decontaminate.contamination(docs, spark.createDataFrame([(1, "alpha beta"), (2, "beta alpha"), (3, "no alpha")], "item_id long, text string"), within=3)
+    assert sorted((r.doc_id, r.n_near, r.contaminated) for r in again.collect()) == [(1, 2, False), (2, 0, False), (3, 0, False), (4, 2, True)]
 
 
 def test_proximity_on_a_whole_table(spark, documents):
@@ -260,7 +261,7 @@ def test_proximity_on_a_whole_table(spark, documents):
         items.append((number, b" ".join(draw.sample(own[at : at + 6], 1 + number % 3)).decode()))
     index = decontaminate.build_index(documents, "doc_id", segment_bytes=50_000)
     searched = decontaminate.search_terms(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text")
-    near = decontaminate.proximity_matches(index, searched, 5).withColumn("number", minhash.F.shiftright("place", 32).cast("int"))
+    near = decontaminate.proximity_matches(index, documents, "doc_id", "text", searched, 5)
     found = near.join(index.texts, ["segment", "number"]).join(searched.select("item", "item_id").distinct(), "item")
     found = {(r.item_id, r.key) for r in found.collect()}
     totals = Counter(word for own in docs.values() for word in own)
@@ -482,7 +483,7 @@ def test_classifier_of_odd_texts_and_without_labels(spark, odd):
 def test_stages_in_turn(spark, documents):
     docs, before = documents, None
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        docs = corpus_pipeline.materialize(stage(spark, docs, FOLDER), name)
+        docs = minhash.materialize(stage(spark, docs, FOLDER), name)
         ids = [r.doc_id for r in docs.select("doc_id").collect()]
         assert len(ids) == len(set(ids)) and (before is None or set(ids) <= before)
         if i < 4:
@@ -494,6 +495,18 @@ def test_stages_in_turn(spark, documents):
     assert all(r.n_tokens == len(r.ids) for r in docs.collect())
 
 
+def test_a_run_leaves_its_result_and_nothing_else(spark, tmp_path):
+    setting, folder = spark.conf.get(corpus_pipeline.BATCH_SETTING), spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        found = corpus_pipeline.run(spark, FOLDER)
+        left = [path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir() if path.is_dir()]
+        assert left == ["byte_bpe"] and found.count() > 0
+    finally:
+        spark.conf.set("spark.checkpoint.dir", folder) if folder else spark.conf.unset("spark.checkpoint.dir")
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == setting
+
+
 def test_stages_of_odd_texts(spark, odd):
     for docs in (odd, odd.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
@@ -501,3 +514,46 @@ def test_stages_of_odd_texts(spark, odd):
             if name != "byte_bpe":
                 assert out.columns == docs.columns
             assert out.count() <= docs.count()
+
+
+CLASHES = ["_id", "_digest", "_hit", "_hit_digest", "_text", "_word", "_bits", "digest", "key", "goes", "id", "n_words", "failed", "segment"]
+
+
+def test_stages_bear_columns_of_their_own_names(spark, documents):
+    clashing = documents.limit(60).select("*", *[minhash.F.lit(f"own {name}").alias(name) for name in CLASHES]).cache()
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, clashing, FOLDER)
+        if name != "byte_bpe":
+            assert out.columns == clashing.columns
+        for row in out.collect():
+            assert name == "byte_bpe" or all(row[clash] == f"own {clash}" for clash in CLASHES)
+
+
+def test_operators_keep_columns_of_their_own_names(spark, documents):
+    from kindred.llm import bpe, quality_rules, queries
+
+    clashing = documents.limit(20).select("*", *[minhash.F.lit(f"own {name}").alias(name) for name in CLASHES])
+    encoded = bpe.encode(clashing, ["doc_id", "_text", "_id"], queries.byte_bpe(spark), output="digests").collect()
+    assert len(encoded) == 20 and all(row["_text"] == "own _text" for row in encoded)
+    judged = quality_rules.judge_with_measures(clashing, ["doc_id", "n_words", "_text", "failed"])
+    assert judged.columns.count("n_words") == 1 and all(row["_text"] == "own _text" for row in judged.collect())
+
+
+def test_what_stays_passes_no_shuffle_with_its_text(spark, documents, monkeypatch):
+    """With broadcasts of unknown tables off, only rows that the key map lets through are shuffled."""
+    folder = minhash.materialize(documents, "plan-docs")
+    marked = folder.limit(30).select("doc_id", "text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        keys = minhash.materialize(marked.select(marked.doc_id.alias("id"), minhash.F.unhex(minhash.F.md5("text")).alias("digest")), "marked")
+        digest = minhash.F.unhex(minhash.F.md5(minhash.F.coalesce(folder["text"], minhash.F.lit(""))))
+        map_ = key_filter.key_map(keys, "id", "digest")
+        rest = key_filter.without(folder, keys, [folder["doc_id"], digest], ["id", "digest"], map_)
+        assert rest.count() == folder.count() - 30
+        near = key_filter.named(folder, map_, folder["doc_id"], digest)
+        far = key_filter.named(folder, map_, folder["doc_id"], digest, negate=True)
+        assert near.count() <= 31 and near.count() + far.count() == folder.count()
+        plan = far._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
