@@ -42,6 +42,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 NEVER = 1 << 30
+#: Ranks below this; two of them are looked up as one number.
+MAX_RANK = 1 << 17
 
 
 class _Joined(dict):
@@ -62,6 +64,8 @@ class Codec:
     """Pre-tokenising, merging and decoding by one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        if any(not 0 <= rank < MAX_RANK for rank in ranks.values()):
+            raise ValueError(f"ranks must be below {MAX_RANK}")
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.of_byte = [ranks.get(bytes([b])) for b in range(256)]

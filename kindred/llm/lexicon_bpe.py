@@ -44,12 +44,14 @@ LEXICON_BYTES = 48
 #: Distinct words that a task counts before it gives its counts on.
 COUNTED_WORDS = 400_000
 #: Words up to these many bytes are merged together, longer ones one by one.
-TOGETHER = (16, 32, 64)
+TOGETHER = (6, 9, 12, 16, 24, 32, 64)
 #: Characters after which a long text is cut at the next blank between words.
 CUT = 500_000
 
+# Fixed value: the pattern whose pieces are the words here, as tokenizer files write it.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER, LETTER, NUMBER, SPACE = range(4)
-_BETWEEN = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
+BETWEEN = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 
 
 def byte_characters() -> dict[str, int]:
@@ -124,42 +126,54 @@ class Merger:
 
     def __init__(self, rules: Rules):
         self.rules = rules
-        self.of_byte = np.array(rules.of_byte, np.int64)
+        self.of_byte = np.array(rules.of_byte, np.int32)
         self.keys = np.array(sorted(rules.merges), np.int64)
         found = [rules.merges[key] for key in self.keys.tolist()]
-        self.ranks = np.array([rank for rank, _ in found], np.int64)
+        self.ranks = np.array([rank for rank, _ in found], np.int32)
         self.never = max(self.ranks.tolist(), default=0) + 1
-        self.joined = np.zeros(self.never, np.int64)
+        self.joined = np.zeros(self.never, np.int32)
         self.joined[self.ranks] = [joined for _, joined in found]
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The place in the merge list of pairs of ids, ``never`` if there is none or an id is -1 (no token)."""
         if not len(self.keys):
-            return np.full(left.shape, self.never)
-        wanted = left << 32 | right
+            return np.full(left.shape, self.never, np.int32)
+        wanted = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where((self.keys[at] == wanted) & (right >= 0), self.ranks[at], self.never)
+        return np.where((self.keys[at] == wanted) & (right >= 0), self.ranks[at], np.int32(self.never))
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each word, as :func:`merge` gives them."""
-        found: list[list[int]] = [[]] * len(words)
+        counts, flat = self.merged(words)
+        ends, ids = np.cumsum(counts).tolist(), flat.tolist()
+        return [ids[begin:end] for begin, end in zip([0, *ends], ends)]
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all of them in order."""
         sizes = np.array([len(word) for word in words], np.int64)
-        low = 0
+        counts, parts, low = np.zeros(len(words), np.int64), [], 0
         for high in TOGETHER:
             some = np.flatnonzero((sizes > low) & (sizes <= high))
             low = high
             if len(some):
-                for i, ids in zip(some.tolist(), self._together([words[i] for i in some], sizes[some])):
-                    found[i] = ids
+                table = self._together([words[i] for i in some], sizes[some])
+                counts[some] = (table >= 0).sum(axis=1)
+                parts.append((some, table[table >= 0]))
         for i in np.flatnonzero(sizes > low):
-            found[i] = merge(self.rules, words[i])
-        return found
-
-    def _together(self, words: list[bytes], sizes: np.ndarray) -> list[list[int]]:
+            ids = merge(self.rules, words[i])
+            counts[i] = len(ids)
+            parts.append((np.array([i]), np.array(ids, np.int32)))
+        flat, begin = np.empty(int(counts.sum()), np.int32), np.cumsum(counts) - counts
+        for some, ids in parts:
+            flat[spread(begin[some], counts[some])] = ids
+        return counts, flat
+
+    def _together(self, words: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """A row of ids for each word, with -1 behind them."""
         width = int(sizes.max())
-        ids = np.full((len(words), width + 1), -1, np.int64)
+        ids = np.full((len(words), width + 1), -1, np.int32)
         flat = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
-        ids[np.repeat(np.arange(len(words)), sizes), _spread(np.zeros(len(words), np.int64), sizes)] = flat
+        ids[np.repeat(np.arange(len(words)), sizes), spread(np.zeros(len(words), np.int64), sizes)] = flat
         result, live = ids, np.arange(len(words))
         work, ranks = ids.copy(), self.rank(ids[:, :-1], ids[:, 1:])
         steps = np.arange(width)
@@ -186,8 +200,7 @@ class Merger:
             ranks[rows, first] = self.rank(joined, work[rows, first + 1])
             left = np.flatnonzero(first > 0)
             ranks[left, first[left] - 1] = self.rank(work[left, first[left] - 1], joined[left])
-        lengths = (result >= 0).sum(axis=1).tolist()
-        return [row[:n] for row, n in zip(result.tolist(), lengths)]
+        return result
 
 
 def _merge_long(rules: Rules, word: bytes) -> list[int]:
@@ -297,7 +310,7 @@ class Encoder:
                 yield piece, self.rules.added[piece]
                 continue
             while len(piece) > CUT:
-                blank = _BETWEEN.search(piece, CUT)
+                blank = BETWEEN.search(piece, CUT)
                 if blank is None:
                     break
                 yield piece[: blank.start()], None
@@ -317,8 +330,8 @@ class Encoder:
         ends = np.cumsum(sizes)
         flat = np.empty(int(sizes.sum()), np.int32)
         source = offsets[numbers[known]].astype(np.int64)
-        flat[_spread(ends[known] - sizes[known], sizes[known])] = self.lexicon.ids[_spread(source, sizes[known])]
-        flat[_spread(ends[~known] - sizes[~known], sizes[~known])] = [i for ids in lists for i in ids]
+        flat[spread(ends[known] - sizes[known], sizes[known])] = self.lexicon.ids[spread(source, sizes[known])]
+        flat[spread(ends[~known] - sizes[~known], sizes[~known])] = [i for ids in lists for i in ids]
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
 
     def groups(self, texts: list[str | None]):
@@ -354,7 +367,7 @@ class Encoder:
         return [finish.of_text(parts) for parts in found]
 
 
-def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places ``start, start + 1, ...`` of each stretch, one after the other."""
     return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 

@@ -66,8 +66,7 @@ def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every line of every document, from one encoding of the document."""
-    sections = read(spark, folder, "documents").select("doc_id", token_counts.sections("text").alias("sections"))
-    return token_counts.count_by_part(sections, ["doc_id"], byte_bpe(spark), "sections")
+    return token_counts.count_by_section(read(spark, folder, "documents"), ["doc_id"], byte_bpe(spark))
 
 
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

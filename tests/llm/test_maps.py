@@ -262,6 +262,8 @@ def test_counts_by_section(documents, odd, vocabulary, reference, rule):
     docs = documents.select("doc_id", "text").filter("doc_id > 50").limit(60).unionByName(odd.select("doc_id", "text").filter("doc_id IS NOT NULL").dropDuplicates())
     listed = docs.select("doc_id", token_counts.sections("text").alias("parts"))
     found = {(r.doc_id, r.part): (r.start, r.end, r.n_tokens) for r in token_counts.count_by_part(listed, ["doc_id"], vocabulary, "parts", rule).collect()}
+    by_text = {(r.doc_id, r.part): (r.start, r.end, r.n_tokens) for r in token_counts.count_by_section(docs, ["doc_id"], vocabulary, rule=rule).collect()}
+    assert len(by_text) == len(found)
     for r in docs.collect():
         text = r.text or ""
         sections = [line + "\n" for line in text.split("\n")]
@@ -275,7 +277,19 @@ def test_counts_by_section(documents, odd, vocabulary, reference, rule):
             counts[{"first": touched[0], "last": touched[-1], "most": int(np.argmax(overlaps))}[rule]] += 1
             at += size
         for i in range(len(sections)):
-            assert found[r.doc_id, i] == (edges[i], edges[i + 1], counts[i])
+            assert found[r.doc_id, i] == by_text[r.doc_id, i] == (edges[i], edges[i + 1], counts[i])
+
+
+def test_token_ends_of_long_texts_and_other_patterns(reference, monkeypatch):
+    texts = ["word after word, it's  so\n" * 60_000, "", "x" * 1_000, "a b"]
+    other = bpe.Codec(queries_codec().ranks, r"\w+|\W+")
+    lengths = token_counts._Lengths(queries_codec())
+    plain = lambda text: np.cumsum([len(reference.decode_single_token_bytes(i)) for i in reference.encode_ordinary(text)]).tolist()
+    assert [ends.tolist() for ends in token_counts.token_ends(lengths, texts)] == [plain(text) for text in texts]
+    monkeypatch.setattr(token_counts, "CUT", 9)
+    assert [ends.tolist() for ends in token_counts.token_ends(lengths, texts[1:] + ["so it's many words\n  here"])][-1] == plain("so it's many words\n  here")
+    by_pattern = token_counts.token_ends(token_counts._Lengths(other), ["a b", ""])
+    assert [ends.tolist() for ends in by_pattern] == [[1, 2, 3], []]
 
 
 def test_a_token_over_a_boundary_has_one_part():
@@ -292,3 +306,10 @@ def test_counts_by_field(spark, vocabulary, reference):
 
 def test_tables(spark):
     assert queries.op8_token_counts(spark, FOLDER).count() > 0
+
+
+def test_ranks_beyond_the_bound_are_rejected():
+    bytes_ = {bytes([b]): b for b in range(256)}
+    assert bpe.Codec(bytes_ | {b"ab": bpe.MAX_RANK - 1}, r".+").merge(b"abab") == (bpe.MAX_RANK - 1,) * 2
+    with pytest.raises(ValueError):
+        bpe.Codec(bytes_ | {b"ab": bpe.MAX_RANK}, r".+")
