@@ -8,6 +8,9 @@
    (the ``HEAD_WORDS`` at most, each of ``HEAD_BYTES`` at most, so a bounded broadcast) are looked up there. What is
    left, one row per text and rare word, is joined with the counts.
 
+As each task trains on its own share, the weights, and with them ``score``, depend on how the input is split into
+tasks (the base score does not); over the same tasks they are the same on every run.
+
 The words of a text and its end are its tokens. Defined cases: a null text is empty, its only token is its end; rows
 with a null id are training rows; repeated rows each count and each have a result row; without training texts every
 token has the probability of an unseen one and the model is untrained; an empty table gives an empty result. Other
