@@ -17,6 +17,7 @@ from hypothesis import strategies as st
 from llm_fixtures import documents, odd, table  # noqa: F401
 
 import corpus_pipeline
+from kindred import session
 from kindred.llm import cnn, components, decontaminate, gru, key_filter, lm, minhash, queries, warc
 
 FOLDER = "/root/testdata/sf0.001"
@@ -495,15 +496,12 @@ def test_stages_in_turn(spark, documents):
     assert all(r.n_tokens == len(r.ids) for r in docs.collect())
 
 
-def test_a_run_leaves_its_result_and_nothing_else(spark, tmp_path):
-    setting, folder = spark.conf.get(corpus_pipeline.BATCH_SETTING), spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        found = corpus_pipeline.run(spark, FOLDER)
-        left = [path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir() if path.is_dir()]
-        assert left == ["byte_bpe"] and found.count() > 0
-    finally:
-        spark.conf.set("spark.checkpoint.dir", folder) if folder else spark.conf.unset("spark.checkpoint.dir")
+def test_a_run_leaves_its_result_and_nothing_else(spark, tmp_path, monkeypatch):
+    setting = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    found = corpus_pipeline.run(spark, FOLDER)
+    left = [path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir() if path.is_dir()]
+    assert left == ["byte_bpe"] and found.count() > 0
     assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == setting
 
 
