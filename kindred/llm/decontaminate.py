@@ -270,17 +270,30 @@ def proximity_matches(index: Index, docs: DataFrame, key: str, text: str, items:
     terms = materialize(_flat(items).groupBy("item", "term").agg(F.min("offset").alias("offset")), "near-terms")
     counts = materialize(term_counts(index, terms), "near-counts")
     known = terms.join(counts, "term", "left").fillna(0, ["n"])
-    anchors = known.groupBy("item").agg(F.min_by("term", F.struct("n", "offset")).alias("term"), F.min("n").alias("least"))
-    anchors = materialize(anchors.filter("least > 0").select("item", "term"), "anchors")
-    places = index.terms.join(anchors, "term").select("segment", "item", F.explode("places").alias("place"))
-    word = F.col("place").bitwiseAND(_TEXT - 1).cast("int")
-    around = places.select(
-        "segment", F.shiftright("place", 32).cast("int").alias("number"), "item", (word - within).alias("shift"), F.lit(2 * within + 1).alias("size")
-    )
+    ordered = F.sort_array(F.collect_list(F.struct("n", "offset", "term"))).alias("terms")
+    rarest = materialize(known.groupBy("item").agg(ordered).filter(F.col("terms")[0]["n"] > 0), "rarest-terms")
+    begins = _places(index, rarest.select("item", F.col("terms")[0]["term"].alias("term"))).withColumnRenamed("place", "at")
+    # The second rarest term has to be near already in the index, so only few texts are read again.
+    strip = F.floor(F.col("place") / within)
+    others = _places(index, rarest.filter(F.size("terms") > 1).select("item", F.col("terms")[1]["term"].alias("term")))
+    around = F.explode(F.array(*[F.floor(F.col("at") / within) + i for i in (-1, 0, 1)])).alias("strip")
+    paired = begins.select("segment", "item", "at", around).join(others.withColumn("strip", strip), ["segment", "item", "strip"])
+    paired = paired.filter(F.abs(F.col("place") - F.col("at")) <= within).select("segment", "item", "at").distinct()
+    alone = begins.join(rarest.filter(F.size("terms") == 1).select("item"), "item").select("segment", "item", "at")
+    word = F.col("at").bitwiseAND(_TEXT - 1).cast("int")
+    number = F.shiftright("at", 32).cast("int").alias("number")
+    around = paired.select("segment", number, "item", (word - within).alias("shift"), F.lit(2 * within + 1).alias("size"))
     cut = _cut_out(index, docs, key, text, materialize(around, "around-anchors"))
     wanted = materialize(items.groupBy("item").agg(F.array_distinct(F.first("words")).alias("words")), "item-sets")
     near = cut.join(wanted, "item").filter(F.size(F.array_except("words", "there")) == 0)
-    return near.select("segment", "number", "item", (F.col("shift") + within).cast("bigint").alias("word"))
+    found = near.select("segment", "number", "item", (F.col("shift") + within).cast("bigint").alias("word"))
+    return found.unionByName(alone.select("segment", number, "item", word.cast("bigint").alias("word")))
+
+
+def _places(index: Index, terms: DataFrame) -> DataFrame:
+    """``(segment, item, place)``: where the one term of each item stands."""
+    wanted = materialize(terms, "single-terms")
+    return index.terms.join(wanted, "term").select("segment", "item", F.explode("places").alias("place"))
 
 
 def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, window: int,
