@@ -116,3 +116,54 @@ def test_unfit_settings(spark, options):
         mixed.cluster_with_lists(spark.createDataFrame([(1, [1.0], [], "t")], SCHEMA), 1, 1, 1, **options)
     with pytest.raises(ValueError):
         mixed.cluster_with_lists(spark.createDataFrame([], SCHEMA), 1, 1, 1)
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_only_members_near_the_mean_are_bounded_where_lists_are_unlike(spark, monkeypatch, few):
+    """Far members go out before lists are compared; with items that most lists have, all are bounded by counts."""
+    monkeypatch.setattr(mixed, "FEW_MEETINGS", few)
+    table = [(i, [float(i % 20)], [1000 * i, 1000 * i + 1], 0) for i in range(60)]
+    for hot in (False, True):
+        listed = [(i, x, [*items, 7] if hot else items, c) for i, x, items, c in table]
+        assigned = spark.createDataFrame(listed, "id long, features array<double>, items array<long>, cluster int")
+        most = mixed.most_lists(assigned)
+        assert most == (60 if hot else 1)
+        total = {i: sum(gap((x, items), (y, others), 0.5) for _, y, others, _ in listed) for i, x, items, _ in listed}
+        bounds = {row.id: row.bound for row in mixed.medoid_bounds(assigned, 0.5, most).collect()}
+        assert min(total, key=lambda i: (round(total[i] / 60, 9), i)) in bounds
+        assert all(bound <= total[i] for i, bound in bounds.items())
+        if not hot:
+            # The totals of the others are beyond that of the member nearest to the mean; here the bound is the total.
+            assert len(bounds) == 6 and all(bound == pytest.approx(total[i], rel=1e-10) for i, bound in bounds.items())
+        elif few:
+            assert all(bound == pytest.approx(total[i], rel=1e-10) for i, bound in bounds.items())
+
+
+def test_runs_by_counts_are_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(mixed, "FEW_MEETINGS", 0)
+    monkeypatch.setattr(joins.join_counted, "__defaults__", (5,))
+    table = catalog(random.Random(4), 90)
+    found = mixed.cluster_with_lists(spark.createDataFrame(table, SCHEMA).repartition(3), 5, 3, 1, candidates=2)
+    points = {i: (x, {item for item in items or [] if item is not None}) for i, x, items, _ in table}
+    placed, medoids, _ = brute(points, 5, 3, 1, 0.5)
+    assert {r.id: r.cluster for r in found.assignments.collect()} == placed
+    assert {r.cluster: r.id for r in found.centers.collect()} == medoids
+
+
+def test_copies_of_the_best_member_take_no_further_pass(spark, monkeypatch):
+    """Forty members with equal totals, of which a first pass compares two, and the lowest id."""
+    passes, totals = [], mixed.exact_totals
+    monkeypatch.setattr(mixed, "exact_totals", lambda *given: passes.append(1) or totals(*given))
+    table = [(i, [0.5], [100 * i + j for j in range(i % 2, 5)], 0) for i in range(1, 81)]
+    table += [(i, [i % 2 * 1.0], [100 * i], 0) for i in range(81, 121)]
+    assigned = spark.createDataFrame(table, "id long, features array<double>, items array<long>, cluster int")
+    best = mixed.mixed_medoids(assigned.repartition(3), 0.5, candidates=2).collect()
+    assert [row.id for row in best] == [1] and len(passes) == 1
+
+
+def test_ids_that_repeat_keep_their_bounds_below_totals(spark):
+    table = [(i // 2, [i // 8 * 1.0], [i // 4, 50 + i // 2], 0) for i in range(24)]
+    assigned = spark.createDataFrame(table, "id long, features array<double>, items array<long>, cluster int")
+    bounds = mixed.medoid_bounds(assigned, 0.5, mixed.most_lists(assigned)).collect()
+    total = {i: sum(gap((x, items), (y, others), 0.5) for _, y, others, _ in table) for i, x, items, _ in table}
+    assert bounds and all(row.bound <= total[row.id] for row in bounds)
