@@ -16,8 +16,8 @@ from pyspark import cloudpickle
 # Distances and points taken at once, few enough to stay in a core's cache.
 BLOCK = 1 << 19
 BLOCK_ROWS = 4096
-# Bytes of features in one packed row, so that a batch of ten thousand rows stays below 100 MB.
-PACKED_BYTES = 8192
+# Bytes of features in one packed row. A batch has ten thousand rows: 10 MB of features, whatever the size of a partition.
+PACKED_BYTES = 1024
 
 
 def matrix(column) -> np.ndarray:

@@ -6,6 +6,7 @@ import re
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import points_of, rows
 from pyspark.sql import functions as F
@@ -113,3 +114,18 @@ def test_radio_of_unknown_songs_and_without_an_index(spark, written, tmp_path):
     plain = str(tmp_path / "plain")
     found.assignments.write.parquet(plain)
     assert rows(lookup.radio_from_files(spark, plain, 3), "id") == rows(lookup.radio(found.assignments, 3), "id")
+
+
+def test_a_batch_of_packed_points_is_small_whatever_the_partition(spark):
+    """All points in one partition: a Python worker gets them ten megabytes of features at a time."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).nbytes])], names=["bytes"])
+
+    x = F.col("id").cast("double")
+    points = spark.range(0, 400_000, 1, 1).select(F.array(x, x + 1, x * 2, x - 1).alias("features"), "id")
+    packed = points.mapInArrow(kernels.pack_task(4), "ids array<bigint>, packed binary")
+    found = [row.bytes for row in packed.select("packed").mapInArrow(sizes, "bytes long").collect()]
+    # Four bytes of each row are its place.
+    assert sum(found) >= 400_000 * 32 and max(found) <= 10_000 * (1024 + 4) + 4
