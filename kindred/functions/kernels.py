@@ -18,6 +18,8 @@ BLOCK = 1 << 19
 BLOCK_ROWS = 4096
 # Bytes of features in one packed row. A batch has ten thousand rows: 10 MB of features, whatever the size of a partition.
 PACKED_BYTES = 1024
+# Bytes of ids in one, which go through the passes too: 5 MB a batch.
+PACKED_ID_BYTES = 512
 
 
 def matrix(column) -> np.ndarray:
@@ -96,7 +98,7 @@ def _nearest_candidate(points, centers, near) -> np.ndarray:
 
 def pack_task(dims: int):
     """Points as rows of many points each: ``ids`` and ``packed``, their features as bytes. Input: features and id."""
-    step = max(1, PACKED_BYTES // (8 * dims))
+    most = PACKED_BYTES // (8 * dims)
 
     def run(batches):
         for batch in batches:
@@ -105,6 +107,7 @@ def pack_task(dims: int):
             points = np.ascontiguousarray(matrix(batch.column(0)))
             if points.shape[1] != dims:
                 raise ValueError("feature vectors must all have the same length")
+            step = max(1, min(most, PACKED_ID_BYTES * len(points) // max(1, batch.column(1).nbytes)))
             starts = np.arange(0, len(points), step)
             ends = np.append(starts, len(points)).astype(np.int32)
             data = pa.py_buffer(points)

@@ -129,3 +129,16 @@ def test_a_batch_of_packed_points_is_small_whatever_the_partition(spark):
     found = [row.bytes for row in packed.select("packed").mapInArrow(sizes, "bytes long").collect()]
     # Four bytes of each row are its place.
     assert sum(found) >= 400_000 * 32 and max(found) <= 10_000 * (1024 + 4) + 4
+
+
+def test_a_batch_of_packed_points_is_small_with_long_ids(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).nbytes]), pa.array([len(batch.column(0).flatten())])], names=["bytes", "n"])
+
+    x = F.col("id").cast("double")
+    points = spark.range(0, 100_000, 1, 1).select(F.array(x, x + 1, x * 2, x - 1).alias("features"), F.lpad("id", 100, "0").alias("id"))
+    packed = points.mapInArrow(kernels.pack_task(4), "ids array<string>, packed binary")
+    found = packed.select("ids").mapInArrow(sizes, "bytes long, n long").collect()
+    # Four bytes of each row are its place.
+    assert sum(row.n for row in found) == 100_000 and max(row.bytes for row in found) <= 10_000 * (512 + 4) + 8
